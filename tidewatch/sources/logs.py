@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.protocols import get_field, get_list
 from tidewatch.functions.values import safe_log_type
 from tidewatch.schemas import RAW_COLUMNS, RAW_FIELDS
 from tidewatch.settings import SKIPPED_LOG_FILES, TAILED_LOG_TYPES
 
-LINE_SCHEMA = T.StructType.fromDDL("value string, file string, file_offset bigint")
+LINE_SCHEMA = "value string, file string, file_offset bigint"
 
 
 def tailed_file(path: Column) -> Column:
