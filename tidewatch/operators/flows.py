@@ -74,13 +74,14 @@ def normalize_flows(lines: DataFrame, now: Column | None = None, keep_raw: bool
         "src_port", "dst_port", "src_vlan", "dst_vlan", "bytes", "packets", "sequence_num", "sampling_rate",
         "in_interface", "out_interface", "tcp_flags", "ip_tos", "forwarding_status")}
     start, end, received = (ns_to_ts(safe_int_strict(f[n])) for n in ("start_ns", "end_ns", "received_ns"))
-    flat = lines.where("line_status = 'parsed'").select(
+    # Exploding one struct keeps later filters from being pushed into, and repeating, the JSON reads.
+    flat = lines.where("line_status = 'parsed'").select(F.explode(F.array(F.struct(
         transport_name(f["proto"]).alias("tp"),
         *[f[n].alias(n) for n in ("src_ip", "dst_ip", "observer_ip", "src_mac", "dst_mac", "flow_id", "version")],
         *[c.alias(n) for n, c in number.items()],
         start.alias("start"), end.alias("end"), received.alias("received"),
         F.col("value").alias("raw_line"),
-    )
+    ))).alias("f")).select("f.*")
     reasons = flow_noise_reasons(*[F.col(c) for c in ("src_ip", "dst_ip", "dst_port", "bytes", "packets")])
     duration = F.call_function("div", F.unix_micros("end") - F.unix_micros("start"), F.lit(1000).cast("bigint"))
     flat = with_parsed_ips(flat, src=F.col("src_ip"), dst=F.col("dst_ip"))

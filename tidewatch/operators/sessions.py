@@ -76,20 +76,13 @@ def _us() -> Column:
     return event_order(c("ts"), c("raw_id")).getField("us")
 
 
-def certificate_table(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One summary row per fingerprint over its distinct certificate events."""
+def certificate_table(raw: DataFrame, settings: Settings = DEFAULTS, samples: bool = True, names: bool = True) -> DataFrame:
+    """One summary row per fingerprint over its distinct certificate events.
+
+    ``samples`` adds the first evidence references and events, ``names`` the list values.
+    """
     x509 = raw.where((safe_log_type(c("log_type")) == "x509") & (c("fingerprint") != "")).withColumn("log_type", F.lit("x509"))
     x509 = x509.dropDuplicates(["fingerprint", "raw_id"]).withColumn("us", _us())
-    order = Window.partitionBy("fingerprint").orderBy("us", "raw_id")
-    ranked = (
-        x509.select("fingerprint", "us", "raw_id", evidence_ref().alias("ref"), kept_event(settings.keep_raw_documents).alias("event"))
-        .withColumn("rank", F.row_number().over(order)).where(c("rank") <= settings.max_evidence_items)
-    )
-    samples = ranked.groupBy("fingerprint").agg(
-        F.collect_list(F.struct("us", c("raw_id").alias("id"), "ref")).alias("refs"),
-        F.collect_list(F.when(c("rank") <= settings.max_events_per_log_type,
-                              F.struct("us", c("raw_id").alias("id"), "event"))).alias("events"),
-    )
     ordered = F.struct("us", "raw_id")
     summary = x509.groupBy("fingerprint").agg(
         F.count("*").alias("n"), F.min("ts").alias("ts"), F.max("ts").alias("last_ts"),
@@ -98,13 +91,24 @@ def certificate_table(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFram
         F.min_by(F.struct(*[b for b in _BACKBONE if b not in ("ts", "log_type")]), ordered).alias("b"),
         *[F.min_by(f, F.when(c(f).isNotNull() & (c(f).cast("string") != ""), ordered)).alias(f"first_{f}") for f in _FIRST],
     )
-    names = (
-        x509.select("fingerprint", F.explode(list_items(["x509"], c("us"), c("raw_id"))).alias("i"))
-        .groupBy("fingerprint", "i.field", "i.value").agg(F.min(F.struct("i.us", "i.id", "i.pos")).alias("o"))
-        .groupBy("fingerprint")
-        .agg(F.collect_list(F.struct("field", "o.us", "o.id", "o.pos", "value")).alias("items"))
-    )
-    return summary.join(samples, "fingerprint").join(names, "fingerprint", "left")
+    if samples:
+        order = Window.partitionBy("fingerprint").orderBy("us", "raw_id")
+        ranked = (
+            x509.select("fingerprint", "us", "raw_id", evidence_ref().alias("ref"), kept_event(settings.keep_raw_documents).alias("event"))
+            .withColumn("rank", F.row_number().over(order)).where(c("rank") <= settings.max_evidence_items)
+        )
+        summary = summary.join(ranked.groupBy("fingerprint").agg(
+            F.collect_list(F.struct("us", c("raw_id").alias("id"), "ref")).alias("refs"),
+            F.collect_list(F.when(c("rank") <= settings.max_events_per_log_type, F.struct("us", c("raw_id").alias("id"), "event"))).alias("events"),
+        ), "fingerprint")
+    if names:
+        values = (
+            x509.select("fingerprint", F.explode(list_items(["x509"], c("us"), c("raw_id"))).alias("i"))
+            .groupBy("fingerprint", "i.field", "i.value").agg(F.min(F.struct("i.us", "i.id", "i.pos")).alias("o"))
+        )
+        summary = summary.join(values.groupBy("fingerprint").agg(
+            F.collect_list(F.struct("field", "o.us", "o.id", "o.pos", "value")).alias("items")), "fingerprint", "left")
+    return summary
 
 
 def attach_certificates(keyed: DataFrame, certificates: DataFrame) -> DataFrame:
@@ -157,7 +161,8 @@ def _list_field(section: str, name: str) -> Column:
 
 def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequence[str] | None = None,
                    parts: Sequence[str] = ("certificates", "evidence", "events"),
-                   certificates: DataFrame | None = None, updated_at: Column | None = None) -> DataFrame:
+                   certificates: DataFrame | None = None, updated_at: Column | None = None,
+                   with_key: bool = False) -> DataFrame:
     """Session rows from raw logs.
 
     ``sections`` and ``parts`` restrict the work to what a caller reads; the omitted columns
@@ -168,7 +173,9 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
     keyed = with_session_key(raw)
     partials, attached = _own_partials(keyed), None
     if "certificates" in parts:
-        attached = attach_certificates(keyed, certificate_table(raw, settings) if certificates is None else certificates)
+        if certificates is None:
+            certificates = certificate_table(raw, settings, bool({"evidence", "events"} & set(parts)), "x509" in names)
+        attached = attach_certificates(keyed, certificates)
         partials = partials.unionByName(_certificate_partials(attached, dict(partials.dtypes)))
 
     def present(f: str) -> Column:
@@ -220,7 +227,7 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
             F.flatten(F.collect_list("refs")).alias("cert_refs"),
             F.slice(F.array_sort(F.flatten(F.collect_list("events"))), 1, settings.max_events_per_log_type).alias("cert_events"))
         core = core.join(samples, "key", "left")
-    return _assemble(core, names, settings, F.current_timestamp() if updated_at is None else updated_at)
+    return _assemble(core, names, settings, F.current_timestamp() if updated_at is None else updated_at, with_key)
 
 
 def flag_columns(log_types: Column) -> dict[str, Column]:
@@ -237,7 +244,7 @@ HARDENED_COLUMNS = {
 }
 
 
-def _assemble(df: DataFrame, names: Sequence[str], settings: Settings, updated_at: Column) -> DataFrame:
+def _assemble(df: DataFrame, names: Sequence[str], settings: Settings, updated_at: Column, with_key: bool = False) -> DataFrame:
     df = df.withColumn("bb", F.coalesce("conn_backbone", "any_backbone"))
 
     def pick(*fields: str) -> Column:
@@ -259,7 +266,8 @@ def _assemble(df: DataFrame, names: Sequence[str], settings: Settings, updated_a
         "protocols": service_tokens(F.coalesce(blank_to_null(c("bb.service")), infer_service(c("log_types"), c("dst_port")))),
     })
     have = set(df.columns)
-    out = {
+    out = {"key": c("key")} if with_key else {}
+    out |= {
         "session_id": F.coalesce("uid", "community_id", "key"),
         "ts": F.coalesce("bb.ts", "first_seen"),
         **{n: c(n) for n in ("uid", "community_id", "first_seen", "last_seen", "log_types", "event_count")},

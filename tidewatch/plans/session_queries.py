@@ -1 +1,268 @@
-"""Filled in below."""
+"""Session building, sections, certificates, merging, hardening and look-ups."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewatch.functions import ip as I
+from tidewatch.operators import hardening as H, lookups as LK
+from tidewatch.operators.merge import merge_sessions
+from tidewatch.operators.sections import SECTIONS
+from tidewatch.operators.sessions import attach_certificates, build_sessions, certificate_table, with_session_key
+from tidewatch.plans import oracle as O
+from tidewatch.plans.catalog import query
+from tidewatch.plans.views import ALL, epoch, hardened, joined, sessions, us
+from tidewatch.sources.adapters import SUBNETS, raw_logs
+
+c = F.col
+
+
+@query("j01_session_key", O.prepared("SELECT key, count(*) AS n FROM keyed GROUP BY key"))
+def session_keys(spark, d):
+    return with_session_key(raw_logs(spark, d)).groupBy("key").agg(F.count("*").alias("n"))
+
+
+@query("j02_certificate_attach", O.prepared("SELECT s.key, fp AS fingerprint, count(*) AS certs, min(c.us) AS first_us, max(c.us) AS last_us FROM shown s JOIN certs c ON c.fingerprint = fp GROUP BY 1, 2"))
+def certificate_attach(spark, d):
+    raw = raw_logs(spark, d)
+    rows = attach_certificates(with_session_key(raw), certificate_table(raw))
+    return rows.select("key", "fingerprint", c("n").alias("certs"), us("ts").alias("first_us"), us("last_ts").alias("last_us"))
+
+
+@query("a01_session_build", O.sessions("""SELECT session_id, ts_us, first_us, last_us, event_count, array_to_string(log_types, '|') AS log_types, list_contains(log_types, 'dns') AS has_dns,
+    list_contains(log_types, 'ssl') OR list_contains(log_types, 'tls') AS has_tls, list_contains(log_types, 'notice') AS has_notice FROM sess"""))
+def session_build(spark, d):
+    return sessions(spark, d).select("session_id", us("ts").alias("ts_us"), us("first_seen").alias("first_us"), us("last_seen").alias("last_us"), "event_count",
+                                     joined(c("log_types")).alias("log_types"), "has_dns", "has_tls", "has_notice")
+
+
+@query("a02_endpoints", O.sessions("""SELECT session_id, ts_us, src_ip, src_port, dst_ip, dst_port, src_local, dst_local, transport, sensor, community_id, protocol FROM sess"""))
+def endpoints(spark, d):
+    return sessions(spark, d).select("session_id", us("ts").alias("ts_us"), "src_ip", "src_port", "dst_ip", "dst_port", "src_local", "dst_local", "transport", "sensor",
+                                     "community_id", "protocol")
+
+
+@query("a03_bytes_packets", O.sessions("SELECT session_id, ts_us, bytes, packets FROM sess"))
+def volumes(spark, d):
+    return sessions(spark, d).select("session_id", us("ts").alias("ts_us"), "bytes", "packets")
+
+
+@query("a04_evidence", O.prepared("""SELECT key, n, first_id, last_id FROM (SELECT key, count(*) AS n, min(raw_id) FILTER (WHERE r = 1) AS first_id, max_by(raw_id, r) AS last_id
+    FROM (SELECT key, raw_id, row_number() OVER (PARTITION BY key ORDER BY us, raw_id) AS r FROM (SELECT DISTINCT key, raw_id, us FROM prepared) a) b WHERE r <= 100 GROUP BY key) t"""))
+def evidence(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=(), parts=("certificates", "evidence"), updated_at=epoch(), with_key=True)
+    return rows.select("key", F.size("evidence").cast("bigint").alias("n"), F.get("evidence", F.lit(0)).id.alias("first_id"), F.element_at("evidence", -1).id.alias("last_id"))
+
+
+@query("a05_kept_events", O.prepared("""SELECT key, log_type, count(*) AS n, string_agg(raw_id, '|' ORDER BY us, raw_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY key, log_type ORDER BY us, raw_id) AS r
+    FROM (SELECT DISTINCT key, log_type, raw_id, us FROM prepared) a) b WHERE r <= 20 GROUP BY 1, 2"""))
+def kept_events(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=(), parts=("certificates", "events"), updated_at=epoch(), with_key=True)
+    flat = rows.select("key", F.explode("zeek").alias("log_type", "events"))
+    return flat.select("key", "log_type", F.size("events").cast("bigint").alias("n"), joined(F.transform("events", lambda e: e.raw_id)).alias("ids"))
+
+
+@query("a06_section_assembly", O.sessions("""SELECT session_id, ts_us, list_contains(log_types, 'conn') AS conn, list_contains(log_types, 'dns') AS dns, list_contains(log_types, 'http') AS http,
+    list_has_any(log_types, ['ssl', 'tls']) AS tls, list_contains(log_types, 'x509') AS x509, list_has_any(log_types, ['smb_files', 'smb_mapping']) AS smb, list_has_any(log_types, ['ldap', 'ldap_search']) AS ldap FROM sess"""))
+def section_assembly(spark, d):
+    names = ("conn", "dns", "http", "tls", "x509", "smb", "ldap")
+    return sessions(spark, d, *names).select("session_id", us("ts").alias("ts_us"), *[c(n).isNotNull().alias(n) for n in names])
+
+
+def _section(tag: str, name: str, first: dict[str, str], lists: dict[str, str] | None = None, sums: dict[str, str] | None = None) -> None:
+    """Register one section query: first-event scalars, ordered distinct lists, sums."""
+    types = SECTIONS[name].log_types
+    listed = ", ".join(f"'{t}'" for t in types)
+    scalars = "".join(f", {O.first_of(x, *types)} AS {f}" for f, x in first.items())
+    total = "".join(f", CAST(sum({x}) FILTER (WHERE log_type IN ({listed})) AS BIGINT) AS {f}" for f, x in (sums or {}).items())
+    many = "".join(f", {O.distinct_list(x, *types)} AS {f}" for f, x in (lists or {}).items())
+    sql = O.prepared(f"SELECT s.*{many} FROM (SELECT key{scalars}{total} FROM prepared GROUP BY key HAVING count(*) FILTER (WHERE log_type IN ({listed})) > 0) s")
+
+    @query(f"{tag}_{name}", sql)
+    def run(spark, d):
+        parts = ("certificates",) if name == "x509" else ()
+        rows = build_sessions(raw_logs(spark, d), sections=(name,), parts=parts, updated_at=epoch(), with_key=True).where(c(name).isNotNull())
+        return rows.select("key", *[c(f"{name}.{f}").alias(f) for f in (*first, *(sums or {}))], *[joined(c(f"{name}.{f}")).alias(f) for f in lists or {}])
+
+
+_section("l01", "conn", {"state": "conn_state", "duration": "duration", "orig_bytes": "orig_bytes", "resp_bytes": "resp_bytes", "orig_pkts": "orig_pkts",
+                         "resp_pkts": "resp_pkts", "history": "history", "missed_bytes": "missed_bytes"})
+_section("l02", "dns", {"query": "query", "qtype": "qtype", "qtype_name": "qtype_name", "rcode": "coalesce(rcode, rcode_name)", "rcode_name": "rcode_name",
+                        "query_length": "CAST(length(query) AS INT)", "is_txt": "qtype_name = 'TXT'", "is_nxdomain": "rcode_name = 'NXDOMAIN'"},
+         {"answers": "answers", "ttls": "list_transform(ttls, lambda x: CAST(x AS STRING))"})
+_section("l03", "http", {"host": "host", "method": "coalesce(method, http_method)", "uri": "coalesce(uri, url_path)", "status_code": "status_code", "user_agent": "user_agent",
+                         "request_body_bytes": "request_body_len", "response_body_bytes": "response_body_len", "referrer": "referrer"})
+_section("l05", "x509", {"subject": "subject", "issuer": "issuer", "serial": "serial", "not_valid_before": "not_valid_before", "not_valid_after": "not_valid_after",
+                         "key_type": "key_type", "key_alg": "key_alg", "key_length": "key_length", "sig_alg": "sig_alg", "basic_constraints_ca": "basic_constraints_ca"})
+_section("l06", "notice", {}, {"notes": "[note]", "messages": "[msg]", "actions": "actions", "subs": "[sub]", "suppress_for": "[CAST(suppress_for AS STRING)]"})
+_section("l07", "weird", {}, {"names": "[name]", "messages": "[message]"})
+_section("l08", "analyzer", {}, {"names": "[coalesce(analyzer, name)]", "kinds": "[kind]", "failure_reasons": "[failure_reason]"})
+_section("l09", "files", {}, {"fuids": "[fuid]", "mime_types": "[mime_type]", "md5": "[md5]", "sha1": "[sha1]", "filenames": "[coalesce(filename, name)]"},
+         {"seen_bytes": "seen_bytes", "total_bytes": "total_bytes", "missing_bytes": "missing_bytes"})
+_section("l10", "ssh", {"auth_success": "auth_success", "auth_attempts": "auth_attempts", "client": "client", "server": "server", "cipher_alg": "cipher_alg",
+                        "host_key_fingerprint": "host_key_fingerprint"})
+_section("l11", "ftp", {"user": '"user"', "command": "command", "reply_code": "reply_code", "data_channel_resp_h": "data_channel_resp_h",
+                        "data_channel_resp_p": "data_channel_resp_p", "data_channel_passive": "data_channel_passive"})
+_section("l12", "smtp", {"helo": "helo", "mailfrom": "mailfrom", "tls": "tls"})
+_section("l13", "smb", {}, {"operations": "[operation]", "paths": "[coalesce(path, name)]", "names": "[name]", "share_types": "[share_type]", "usernames": '["user"]',
+                            "success_values": "[CAST(success AS STRING)]"})
+_section("l14", "ldap", {}, {"operations": "[coalesce(operation, message_type)]", "arguments": "[base_object]", "results": "[result]"})
+_section("l15", "dhcp", {"assigned_addr": "assigned_addr", "host_name": "host_name", "lease_time": "lease_time"}, {"msg_types": "msg_types"})
+_section("l16", "irc", {"nick": "nick", "command": "command", "value": "value"})
+
+
+_TLS = ("server_name", "version", "cipher", "curve", "validation_status", "established", "resumed", "sni_matches_cert", "next_protocol")
+
+
+def _merged_tls(x: str) -> str:
+    a, b = O.first_of(x, "ssl"), O.first_of(x, "tls")
+    newer = "coalesce(min(us) FILTER (WHERE log_type = 'ssl'), -1) > coalesce(min(us) FILTER (WHERE log_type = 'tls'), -1)"
+    return f"CASE WHEN {newer} THEN coalesce({a}, {b}) ELSE coalesce({b}, {a}) END AS {x}"
+
+
+@query("l04_tls", O.prepared(f"SELECT key, {', '.join(_merged_tls(x) for x in _TLS)} FROM prepared GROUP BY key HAVING count(*) FILTER (WHERE log_type IN ('ssl', 'tls')) > 0"))
+def tls_section(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=("tls",), parts=(), updated_at=epoch(), with_key=True).where(c("tls").isNotNull())
+    return rows.select("key", *[c(f"tls.{f}").alias(f) for f in _TLS])
+
+
+@query("l17_unknown_types", O.prepared("SELECT key, count(DISTINCT raw_id) AS kept FROM prepared WHERE log_type = 'quic' GROUP BY key"))
+def unknown_types(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=(), parts=("events",), updated_at=epoch(), with_key=True)
+    quic = F.try_element_at("zeek", F.lit("quic"))
+    return rows.where(quic.isNotNull()).select("key", F.size(quic).cast("bigint").alias("kept"))
+
+
+# ---------------------------------------------------------------- merging
+
+def _two_batches(spark, d, parts=("events",)):
+    """The same sessions built from two batches (first and last thirds of each) and merged."""
+    raw = raw_logs(spark, d).where("log_type <> 'x509' and uid is not null")
+    early = F.get_json_object("doc", "$.e").cast("bigint") % 3 == 0
+    build = lambda rows: build_sessions(rows, sections=("conn", "dns", "notice"), parts=parts, updated_at=epoch())
+    return merge_sessions(build(raw.where(early)), build(raw.where(~early)))
+
+
+_MERGED = O.raw("""SELECT uid AS session_id, array_to_string(list_sort(list(DISTINCT log_type)), '|') AS log_types, min(us) AS first_us, max(us) AS last_us, count(DISTINCT raw_id) AS event_count,
+    bool_or(log_type = 'dns') AS has_dns FROM raw WHERE log_type <> 'x509' AND uid IS NOT NULL GROUP BY uid HAVING bool_or(e % 3 = 0) AND bool_or(e % 3 <> 0)""")
+
+
+@query("m01_document_merge", _MERGED)
+@query("j03_stored_session_join", _MERGED)
+@query("w04_late_session_upsert", _MERGED)
+def document_merge(spark, d):
+    rows = _two_batches(spark, d).where("merge_state = 'updated'")
+    return rows.select("session_id", joined(c("log_types")).alias("log_types"), us("first_seen").alias("first_us"), us("last_seen").alias("last_us"), "event_count", "has_dns")
+
+
+_COUNTS = O.raw("""SELECT count(*) FILTER (WHERE NOT a AND b) AS created, count(*) FILTER (WHERE a AND b) AS updated, count(*) FILTER (WHERE b) AS upserted
+    FROM (SELECT uid, bool_or(e % 3 = 0) AS a, bool_or(e % 3 <> 0) AS b FROM raw WHERE log_type <> 'x509' AND uid IS NOT NULL GROUP BY uid) t""")
+
+
+@query("s14_upsert_counts", _COUNTS)
+@query("s15_dry_run", _COUNTS)
+def upsert_counts(spark, d):
+    from tidewatch.sources.tables import write_counts
+    return write_counts(_two_batches(spark, d, parts=()))
+
+
+# ---------------------------------------------------------------- hardening
+
+@query("a07_counts", O.hardened("""SELECT session_id, ts_us, CAST(least(100, ids) AS INT) AS evidence_count, CAST(kept AS INT) AS normalized_event_count, least(100, ids) > kept AS events_truncated
+    FROM hard JOIN (SELECT key, sum(n) AS ids, sum(least(20, n)) AS kept FROM (SELECT key, log_type, count(DISTINCT raw_id) AS n FROM prepared GROUP BY 1, 2) t GROUP BY key) k USING (key)"""))
+def counts(spark, d):
+    return hardened(spark, d).select("session_id", us("ts").alias("ts_us"), "evidence_count", "normalized_event_count", "events_truncated")
+
+
+_CERT_ROWS = "(SELECT key, fingerprint, cert_subject, cert_issuer, cert_key_length, basic_constraints_ca FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY us, raw_id) AS r FROM prepared WHERE log_type = 'x509') x WHERE r <= 20)"
+
+
+@query("a08_x509_arrays", O.prepared(f"""SELECT key, count(DISTINCT fingerprint) AS fingerprints, array_to_string(list_sort(list(DISTINCT cert_subject)), '|') AS subjects,
+    array_to_string(list_sort(list(DISTINCT cert_issuer)), '|') AS issuers, count(DISTINCT cert_key_length) AS key_lengths, bool_or(basic_constraints_ca) AS is_ca FROM {_CERT_ROWS} t GROUP BY key"""))
+def x509_arrays(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=("x509",), parts=("certificates", "events"), updated_at=epoch(), with_key=True)
+    rows = H.harden_x509(rows).where(c("x509").isNotNull())
+    return rows.select("key", F.size("x509.fingerprints").cast("bigint").alias("fingerprints"), joined(F.array_sort("x509.subjects")).alias("subjects"),
+                       joined(F.array_sort("x509.issuers")).alias("issuers"), F.size("x509.key_lengths").cast("bigint").alias("key_lengths"), c("x509.is_ca").alias("is_ca"))
+
+
+@query("a09_files", O.prepared("""SELECT key, CAST(count(DISTINCT fuid) AS INT) AS count, CAST(count(DISTINCT nullif(mime_type, '')) AS INT) AS mime_type_count, CAST(count(DISTINCT md5) + count(DISTINCT sha1) AS INT) AS hash_count,
+    CAST(coalesce(nullif(sum(total_bytes), 0), sum(seen_bytes)) AS BIGINT) AS total_bytes FROM prepared WHERE log_type = 'files' GROUP BY key"""))
+def files(spark, d):
+    rows = H.harden_files(build_sessions(raw_logs(spark, d), sections=("files",), parts=(), updated_at=epoch(), with_key=True)).where(c("files").isNotNull())
+    return rows.select("key", "files.count", "files.mime_type_count", "files.hash_count", "files.total_bytes")
+
+
+@query("a10_noise_roll_up", O.hardened("SELECT session_id, ts_us, noisy FROM hard"))
+def noise(spark, d):
+    rows = H.roll_up_noise(sessions(spark, d, parts=("certificates", "events")))
+    return rows.select("session_id", us("ts").alias("ts_us"), (F.coalesce("category", F.lit("")) == "noise").alias("noisy"))
+
+
+@query("a11_key_type_flow", O.hardened("SELECT session_id, ts_us, key_type, flow_based, category FROM hard"))
+def key_type(spark, d):
+    return hardened(spark, d, parts=("certificates", "events")).select("session_id", us("ts").alias("ts_us"), "key_type", "flow_based", "category")
+
+
+@query("a12_control_plane", O.hardened("SELECT session_id, ts_us, excluded, nullif(noise_reasons, '') AS noise_reasons FROM hard"))
+@query("a13_hardening_order", O.hardened("SELECT session_id, ts_us, excluded, nullif(noise_reasons, '') AS noise_reasons FROM hard"))
+def control_plane(spark, d):
+    return hardened(spark, d, parts=("certificates", "events")).select(
+        "session_id", us("ts").alias("ts_us"), c("excluded_from_behavior").alias("excluded"), joined(c("noise_reasons")).alias("noise_reasons"))
+
+
+@query("j04_subnet_lookup", O.raw(f"""SELECT ip, {O._net('ip', 0)} AS spoke, {O._net('ip', 2)} AS subnet, count(*) AS n FROM (SELECT orig_h AS ip FROM raw UNION ALL SELECT resp_h FROM raw) t WHERE ip IS NOT NULL GROUP BY ip"""))
+def subnet_lookup(spark, d):
+    raw = raw_logs(spark, d)
+    ips = raw.select(c("orig_h").alias("ip")).unionAll(raw.select(c("resp_h").alias("ip"))).where("ip is not null")
+    nets = spark.createDataFrame(list(SUBNETS), "spoke string, vnet string, subnet string, subnet_cidr string")
+    return I.lookup_subnets(ips, nets).groupBy("ip", "spoke", "subnet").agg(F.count("*").alias("n"))
+
+
+@query("j05_topology", O.hardened("SELECT session_id, ts_us, scope, direction, asset_ip, asset_side, asset_subnet, src_subnet_cidr = dst_subnet_cidr AS same_subnet, src_spoke = dst_spoke AS same_spoke FROM hard"))
+def topology(spark, d):
+    rows = H.classify_topology(sessions(spark, d), SUBNETS)
+    return rows.select("session_id", us("ts").alias("ts_us"), "scope", "direction", "asset_ip", "asset_side", "asset_subnet", "same_subnet", "same_spoke")
+
+
+# ---------------------------------------------------------------- look-ups
+
+@query("f15_by_uid", O.sessions("SELECT session_id, event_count FROM sess WHERE uid = (SELECT max(uid) FROM raw)"))
+def by_uid(spark, d):
+    top = raw_logs(spark, d).agg(F.max("uid")).scalar()
+    return LK.by_uid(sessions(spark, d), top).select("session_id", "event_count")
+
+
+@query("f15_by_community_id", O.sessions("SELECT session_id, event_count FROM sess WHERE community_id = (SELECT max(community_id) FROM raw)"))
+def by_community(spark, d):
+    top = raw_logs(spark, d).agg(F.max("community_id")).scalar()
+    return LK.by_community_id(sessions(spark, d), top).select("session_id", "event_count")
+
+
+@query("f15_with_notice", O.sessions("SELECT session_id, ts_us FROM sess WHERE list_contains(log_types, 'notice')"))
+def with_notice(spark, d):
+    return LK.with_notice(sessions(spark, d)).select("session_id", us("ts").alias("ts_us"))
+
+
+@query("f15_tls_validation", O.prepared("SELECT key, max(CASE WHEN validation_status IS NOT NULL THEN 1 ELSE 0 END) AS known FROM prepared WHERE log_type IN ('ssl', 'tls') GROUP BY key HAVING max(CASE WHEN validation_status IS NOT NULL THEN 1 ELSE 0 END) = 1"))
+def tls_validation(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=("tls",), parts=(), updated_at=epoch(), with_key=True)
+    return LK.tls_with_validation(rows).select("key", F.lit(1).alias("known"))
+
+
+@query("f15_long_dns", O.prepared("SELECT key, q AS query_length FROM (SELECT key, CAST(length(first(query ORDER BY us, raw_id) FILTER (WHERE log_type = 'dns')) AS INT) AS q FROM prepared GROUP BY key) t WHERE q >= 80"))
+def long_dns(spark, d):
+    rows = build_sessions(raw_logs(spark, d), sections=("dns",), parts=(), updated_at=epoch(), with_key=True)
+    return LK.long_dns(rows).select("key", c("dns.query_length").alias("query_length"))
+
+
+@query("f15_sessions_by_ids", O.sessions("SELECT session_id, ts_us FROM sess WHERE session_id IN (SELECT uid FROM raw WHERE log_type = 'notice')"))
+def by_ids(spark, d):
+    ids = raw_logs(spark, d).where("log_type = 'notice'").select(c("uid").alias("session_id"))
+    return LK.sessions_by_ids(sessions(spark, d), ids).select("session_id", us("ts").alias("ts_us"))
+
+
+@query("f15_raw_of_connection", O.raw("SELECT raw_id, us FROM raw WHERE uid = (SELECT max(uid) FROM raw)"))
+def raw_of_connection(spark, d):
+    raw = raw_logs(spark, d)
+    return LK.raw_of_connection(raw, uid=raw.agg(F.max("uid")).scalar()).select("raw_id", us("ts").alias("us"))
