@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewatch import settings as S
 from tidewatch.functions.ip import flow_direction, parsed, with_parsed_ips
 from tidewatch.functions.protocols import transport_name
-from tidewatch.functions.values import first_present, ns_to_ts, safe_int_strict
+from tidewatch.functions.values import ns_to_ts, safe_int_strict
 
 # Accepted spellings of each field family, in order of preference.
 ALIASES = {
@@ -48,7 +48,8 @@ def parse_flow_lines(lines: DataFrame) -> DataFrame:
 
 def get_first(v: Column, names) -> Column:
     """First spelling that is present and not blank, as text."""
-    return first_present(*[F.try_variant_get(v, f"$.{n}", "string") for n in names])
+    found = F.array(*[F.try_variant_get(v, f"$.{n}", "string") for n in names])
+    return F.get(F.filter(found, lambda x: x != ""), F.lit(0))
 
 
 def flow_noise_reasons(src_ip: Column, dst_ip: Column, dst_port: Column, bytes_: Column, packets: Column) -> Column:
@@ -68,20 +69,17 @@ def normalize_flows(lines: DataFrame, now: Column | None = None, keep_raw: bool
                     collector: str = "goflow2") -> DataFrame:
     """One flow document per parsed line: a single narrow projection."""
     now = F.current_timestamp() if now is None else now
-    v = F.col("v")
-    f = {name: get_first(v, spellings) for name, spellings in ALIASES.items()}
-    number = {n: safe_int_strict(f[n]) for n in (
-        "src_port", "dst_port", "src_vlan", "dst_vlan", "bytes", "packets", "sequence_num", "sampling_rate",
-        "in_interface", "out_interface", "tcp_flags", "ip_tos", "forwarding_status")}
-    start, end, received = (ns_to_ts(safe_int_strict(f[n])) for n in ("start_ns", "end_ns", "received_ns"))
-    # Exploding one struct keeps later filters from being pushed into, and repeating, the JSON reads.
-    flat = lines.where("line_status = 'parsed'").select(F.explode(F.array(F.struct(
-        transport_name(f["proto"]).alias("tp"),
-        *[f[n].alias(n) for n in ("src_ip", "dst_ip", "observer_ip", "src_mac", "dst_mac", "flow_id", "version")],
-        *[c.alias(n) for n, c in number.items()],
-        start.alias("start"), end.alias("end"), received.alias("received"),
-        F.col("value").alias("raw_line"),
-    ))).alias("f")).select("f.*")
+    # The document is bound to a lambda variable and its fields leave through one exploded struct, so
+    # neither later expressions nor pushed-down filters can repeat the parsing.
+    texts = F.transform(F.array(F.try_parse_json(F.trim("value"))), lambda v: F.struct(
+        *[get_first(v, spellings).alias(name) for name, spellings in ALIASES.items()], F.col("value").alias("raw_line")))
+    fields = lines.where("line_status = 'parsed'").select(F.explode(texts).alias("f")).select("f.*")
+    numbers = ("src_port", "dst_port", "src_vlan", "dst_vlan", "bytes", "packets", "sequence_num", "sampling_rate", "in_interface",
+               "out_interface", "tcp_flags", "ip_tos", "forwarding_status")
+    times = {n: ns_to_ts(safe_int_strict(F.col(f"{n}_ns"))) for n in ("start", "end", "received")}
+    flat = fields.select(
+        transport_name(F.col("proto")).alias("tp"), "src_ip", "dst_ip", "observer_ip", "src_mac", "dst_mac", "flow_id", "version", "raw_line",
+        *[safe_int_strict(F.col(n)).alias(n) for n in numbers], *[t.alias(n) for n, t in times.items()])
     reasons = flow_noise_reasons(*[F.col(c) for c in ("src_ip", "dst_ip", "dst_port", "bytes", "packets")])
     duration = F.call_function("div", F.unix_micros("end") - F.unix_micros("start"), F.lit(1000).cast("bigint"))
     flat = with_parsed_ips(flat, src=F.col("src_ip"), dst=F.col("dst_ip"))

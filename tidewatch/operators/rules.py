@@ -241,7 +241,7 @@ def enrich_scans(alerts: DataFrame, sessions: DataFrame, before_seconds: int = 3
     joined = (
         ports.join(summary(cells, "state", "states"), by, "left").join(summary(cells.where(open_), "protocol", "protocols"), by, "left")
     )
-    rejected = F.coalesce(F.try_element_at("states", F.lit("REJ")), F.lit(0))
+    rejected = F.coalesce(F.try_element_at(c("states"), F.lit("REJ")), F.lit(0))
     interesting = F.slice("open_ports", 1, interesting_limit)
     listed = F.when(F.size(interesting) > 0, F.array_join(interesting.cast("array<string>"), ", ")).otherwise("none observed")
     message = F.format_string(

@@ -56,8 +56,8 @@ def pick(*names: str) -> str:
 def distinct_list(values: str, *types: str) -> str:
     """Order-preserving distinct of a list expression over the events of the types, as text."""
     listed = ", ".join(f"'{t}'" for t in types)
-    return (f"(SELECT string_agg(v, '|' ORDER BY o, i) FROM (SELECT v, min(us * 1000 + rank) AS o, min(i) AS i FROM (SELECT p.us, row_number() OVER (ORDER BY p.us, p.raw_id) AS rank, "
-            f"u.v, u.i FROM prepared p, LATERAL (SELECT unnest({values}) AS v, generate_subscripts({values}, 1) AS i) u WHERE p.key = s.key AND p.log_type IN ({listed})) z "
+    return (f"(SELECT string_agg(v, '|' ORDER BY o) FROM (SELECT v, min(row(us, raw_id, i)) AS o FROM (SELECT p.us, p.raw_id, u.v, u.i FROM prepared p, "
+            f"LATERAL (SELECT unnest({values}) AS v, generate_subscripts({values}, 1) AS i) u WHERE p.key = s.key AND p.log_type IN ({listed})) z "
             f"WHERE v IS NOT NULL AND v <> '' GROUP BY v) y)")
 
 

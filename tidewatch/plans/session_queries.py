@@ -104,7 +104,7 @@ _section("l10", "ssh", {"auth_success": "auth_success", "auth_attempts": "auth_a
 _section("l11", "ftp", {"user": '"user"', "command": "command", "reply_code": "reply_code", "data_channel_resp_h": "data_channel_resp_h",
                         "data_channel_resp_p": "data_channel_resp_p", "data_channel_passive": "data_channel_passive"})
 _section("l12", "smtp", {"helo": "helo", "mailfrom": "mailfrom", "tls": "tls"})
-_section("l13", "smb", {}, {"operations": "[operation]", "paths": "[coalesce(path, name)]", "names": "[name]", "share_types": "[share_type]", "usernames": '["user"]',
+_section("l13", "smb", {}, {"operations": "[operation]", "paths": "[coalesce(path, name)]", "names": "[name]", "share_types": "[share_type]", "usernames": '[p."user"]',
                             "success_values": "[CAST(success AS STRING)]"})
 _section("l14", "ldap", {}, {"operations": "[coalesce(operation, message_type)]", "arguments": "[base_object]", "results": "[result]"})
 _section("l15", "dhcp", {"assigned_addr": "assigned_addr", "host_name": "host_name", "lease_time": "lease_time"}, {"msg_types": "msg_types"})
