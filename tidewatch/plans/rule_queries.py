@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import rules as R
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
-from tidewatch.plans.views import epoch, joined, sessions
+from tidewatch.plans.views import joined, session_table
 from tidewatch.sources.adapters import raw_logs
 
 c = F.col
@@ -18,7 +18,7 @@ _SSH = "src_ip IS NOT NULL AND dst_ip IS NOT NULL AND dst_port IS NOT NULL AND (
 
 def _hits(where: str, key: str, count: str, condition: str) -> str:
     return f"""hits AS MATERIALIZED (SELECT {key}, ts_us AS us, max(hits) AS hits, count(*) AS n_events FROM (SELECT *, {count} OVER (PARTITION BY {key} ORDER BY ts_us
-        RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW) AS hits FROM sess WHERE {where}) t WHERE hits {condition} GROUP BY {key}, ts_us)"""
+        RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW) AS hits FROM hard WHERE {where}) t WHERE hits {condition} GROUP BY {key}, ts_us)"""
 
 
 _R01 = _hits(_SCAN, "src_ip, dst_ip", "count(DISTINCT dst_port)", "> 20")
@@ -34,17 +34,17 @@ def _greedy(key: str, wait: int) -> str:
 
 
 def _rule_sql(hits: str, tail: str, greedy: str | None = None) -> str:
-    return f"WITH RECURSIVE {O.SESS}, {hits}{', ' + greedy if greedy else ''} {tail}"
+    return f"WITH RECURSIVE {O.HARD}, {hits}{', ' + greedy if greedy else ''} {tail}"
 
 
 def _events(spark, d, rule):
-    s = sessions(spark, d, "conn")
+    s = session_table(spark, d)
     return {R.VERTICAL_SCAN: R.scan_sessions, R.HORIZONTAL_SCAN: R.sweep_sessions, R.SSH_BRUTE_FORCE: R.ssh_sessions}[rule](s)
 
 
-@query("f14_rule_filters", O.sessions(f"SELECT 'scan' AS rule, count(*) AS n FROM sess WHERE {_SCAN} UNION ALL SELECT 'sweep', count(*) FROM sess WHERE {_SWEEP} UNION ALL SELECT 'ssh', count(*) FROM sess WHERE {_SSH}"))
+@query("f14_rule_filters", O.hardened(f"SELECT 'scan' AS rule, count(*) AS n FROM hard WHERE {_SCAN} UNION ALL SELECT 'sweep', count(*) FROM hard WHERE {_SWEEP} UNION ALL SELECT 'ssh', count(*) FROM hard WHERE {_SSH}"))
 def rule_filters(spark, d):
-    s = sessions(spark, d, "conn").select("src_ip", "dst_ip", "dst_port", "transport", "protocol", "has_ssh", "conn")
+    s = session_table(spark, d).select("src_ip", "dst_ip", "dst_port", "transport", "protocol", "has_ssh", "conn")
     parts = [f(s).agg(F.count("*").alias("n")).select(F.lit(n).alias("rule"), "n") for n, f in
              (("scan", R.scan_sessions), ("sweep", R.sweep_sessions), ("ssh", R.ssh_sessions))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -94,7 +94,7 @@ def horizontal_alerts(spark, d):
 
 _TOP = """SELECT src_ip, dst_ip, alert_us, field, value, n, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY src_ip, dst_ip, alert_us, field ORDER BY n DESC, value) AS INT) AS rank FROM (
     SELECT k.src_ip, k.dst_ip, k.us AS alert_us, field, value, count(*) AS n FROM kept k JOIN (SELECT *, unnest(['dst_port', 'state', 'protocol']) AS field,
-    unnest([CAST(dst_port AS STRING), state, protocol]) AS value FROM sess WHERE """ + _SCAN + """) s ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us
+    unnest([CAST(dst_port AS STRING), state, protocol]) AS value FROM hard WHERE """ + _SCAN + """) s ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us
     WHERE value IS NOT NULL GROUP BY ALL) a) b WHERE rank <= 10"""
 
 
@@ -105,13 +105,13 @@ def top_counts(spark, d):
     return R.top_counts(R.run_rule(events, R.VERTICAL_SCAN), events, R.VERTICAL_SCAN, fields)
 
 
-@query("r07_query_delay", O.sessions(f"SELECT count(*) AS n FROM sess WHERE {_SCAN} AND ts_us <= (SELECT max(us) FROM raw) - 180000000"))
+@query("r07_query_delay", O.hardened(f"SELECT count(*) AS n FROM hard WHERE {_SCAN} AND ts_us <= (SELECT max(us) FROM raw) - 180000000"))
 def query_delay(spark, d):
     now = raw_logs(spark, d).agg(F.max("ts")).scalar()
     return R.settled(_events(spark, d, R.VERTICAL_SCAN), now, R.VERTICAL_SCAN).agg(F.count("*").alias("n"))
 
 
-@query("r08_related_events", _rule_sql(_R03, f"""SELECT k.src_ip, k.dst_ip, k.us AS alert_us, count(*) AS related_count, min(session_id) AS first_id FROM kept k JOIN (SELECT * FROM sess WHERE {_SSH}) s
+@query("r08_related_events", _rule_sql(_R03, f"""SELECT k.src_ip, k.dst_ip, k.us AS alert_us, count(*) AS related_count, min(session_id) AS first_id FROM kept k JOIN (SELECT * FROM hard WHERE {_SSH}) s
     ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us GROUP BY ALL""", _greedy("src_ip, dst_ip", 600000000)))
 def related(spark, d):
     events = _events(spark, d, R.SSH_BRUTE_FORCE)
@@ -127,12 +127,12 @@ def latest(spark, d):
 
 _ENRICH = """SELECT k.src_ip, k.dst_ip, k.us AS alert_us, count(DISTINCT dst_port) AS unique_ports, array_to_string(list_slice(list_sort(list(DISTINCT dst_port) FILTER (WHERE state IS DISTINCT FROM 'REJ')), 1, 100), '|') AS interesting,
     array_to_string(list_slice(list_sort(list(DISTINCT dst_port)), 1, 1000), '|') AS sample, count(*) FILTER (WHERE state = 'REJ') AS rejected, count(*) FILTER (WHERE state IS DISTINCT FROM 'REJ' AND protocol = 'ssh') AS open_ssh
-    FROM kept k JOIN (SELECT * FROM sess WHERE transport = 'tcp') s ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us + 180000000 GROUP BY ALL"""
+    FROM kept k JOIN (SELECT * FROM hard WHERE transport = 'tcp') s ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us + 180000000 GROUP BY ALL"""
 
 
 @query("j10_scan_enrichment", _rule_sql(_R01, _ENRICH, _greedy("src_ip, dst_ip", 60000000)))
 def enrichment(spark, d):
-    s = sessions(spark, d, "conn")
+    s = session_table(spark, d)
     rows = R.enrich_scans(R.run_rule(R.scan_sessions(s), R.VERTICAL_SCAN), s)
     zero = lambda m, k: F.coalesce(F.try_element_at(c(m), F.lit(k)), F.lit(0))
     return rows.select("src_ip", "dst_ip", "alert_us", "unique_ports", joined(c("interesting_ports")).alias("interesting"), joined(c("ports_sample")).alias("sample"),

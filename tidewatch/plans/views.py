@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.operators.behaviors import build_behaviors
@@ -10,6 +12,7 @@ from tidewatch.operators.hardening import harden_sessions
 from tidewatch.operators.sessions import build_sessions
 from tidewatch.sources.adapters import SUBNETS, flow_lines, log_lines, raw_logs
 from tidewatch.sources.logs import parse_json
+from tidewatch.session import ensure_checkpoint_dir
 
 
 def epoch() -> Column:
@@ -31,8 +34,33 @@ def hardened(spark: SparkSession, sf_dir: str, *names: str, parts=ALL) -> DataFr
 BEHAVIOR_SECTIONS = ("conn", "dns", "http", "files", "tls", "x509", "ssh", "notice", "weird")
 
 
-def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_behaviors(hardened(spark, sf_dir, *BEHAVIOR_SECTIONS), updated_at=epoch())
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
+    """A table that an earlier job of the pipeline writes, built once per application.
+
+    It lives in the shared checkpoint folder, so it survives the loss of executors and later
+    queries start from a scan, as the rule, behaviour and health jobs do in operation.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _STORED:
+        path = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "sessions", lambda: hardened(spark, sf_dir, *BEHAVIOR_SECTIONS))
+
+
+def behavior_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "behaviors", lambda: build_behaviors(session_table(spark, sf_dir), updated_at=epoch()))
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "raw", lambda: raw_logs(spark, sf_dir))
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
