@@ -189,7 +189,7 @@ def top_drivers(names: Column, values: Column, baseline: Column, limit: int = 5)
         F.abs(a.v - b).alias("gap"), a.n.alias("name"), a.v.alias("value"), b.alias("base")))
     best = F.slice(F.reverse(F.array_sort(rows)), 1, limit)
     return F.transform(F.filter(best, lambda r: r.value != r.base), lambda r: F.struct(
-        r.name.alias("name"), r.value.alias("value"), F.round(r.base, 6).alias("baseline"), F.round(r.value - r.base, 6).alias("deviation")))
+        r["name"].alias("name"), r.value.alias("value"), F.round(r.base, 6).alias("baseline"), F.round(r.value - r.base, 6).alias("deviation")))
 
 
 def severity(score: Column, anomaly: Column) -> Column:

@@ -244,7 +244,7 @@ def with_notice(spark, d):
     return LK.with_notice(sessions(spark, d)).select("session_id", us("ts").alias("ts_us"))
 
 
-@query("f15_tls_validation", O.prepared("SELECT key, max(CASE WHEN validation_status IS NOT NULL THEN 1 ELSE 0 END) AS known FROM prepared WHERE log_type IN ('ssl', 'tls') GROUP BY key HAVING max(CASE WHEN validation_status IS NOT NULL THEN 1 ELSE 0 END) = 1"))
+@query("f15_tls_validation", O.prepared(f"SELECT key, 1 AS known FROM (SELECT key, {_merged_tls('validation_status')} FROM prepared GROUP BY key) t WHERE validation_status IS NOT NULL"))
 def tls_validation(spark, d):
     rows = build_sessions(raw_logs(spark, d), sections=("tls",), parts=(), updated_at=epoch(), with_key=True)
     return LK.tls_with_validation(rows).select("key", F.lit(1).alias("known"))

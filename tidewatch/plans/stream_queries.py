@@ -1 +1,74 @@
-"""Filled in below."""
+"""Streaming jobs run once over everything available, read back from the tables they wrote."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidewatch.operators import rules as R
+from tidewatch.plans import oracle as O
+from tidewatch.plans.catalog import query
+from tidewatch.plans.views import parsed_lines, session_table
+from tidewatch.session import configure, ensure_checkpoint_dir
+from tidewatch.sources.adapters import raw_columns
+from tidewatch.streaming import jobs as J
+
+c = F.col
+
+
+def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw-log view over a streaming read of the event files."""
+    configure(spark)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/event[s].parquet")
+    return raw_columns(events)
+
+
+def _collect_table(spark: SparkSession, stream: DataFrame, mode: str = "append") -> DataFrame:
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    write = lambda batch, _id: batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/table")
+    J.start(stream, write, f"{base}/state", mode=mode).awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
+@query("w01_micro_batch", O.raw("SELECT log_type, count(*) AS n FROM raw GROUP BY 1"))
+def micro_batch(spark, d):
+    rows = _collect_table(spark, raw_stream(spark, d).select("raw_id", "log_type"))
+    return rows.groupBy("log_type").agg(F.count("*").alias("n"))
+
+
+@query("w02_late_data_watermark", O.raw("SELECT log_type, count(DISTINCT raw_id) AS n FROM raw GROUP BY 1"))
+@query("w03_stream_dedup", O.raw("SELECT log_type, count(DISTINCT raw_id) AS n FROM raw GROUP BY 1"))
+def stream_dedup(spark, d):
+    rows = J.new_events(raw_stream(spark, d).select("raw_id", "log_type", "ingest_ts"))
+    return _collect_table(spark, rows).groupBy("log_type").agg(F.count("*").alias("n"))
+
+
+@query("w06_streaming_rule", O.raw("""SELECT orig_h AS src_ip, resp_h AS dst_ip, (us // 30000000 - s + 10) * 30000000 AS us, count(*) AS hits FROM raw, (SELECT unnest(range(10)) AS s) x
+    WHERE log_type = 'conn' AND resp_p = 22 GROUP BY 1, 2, 3 HAVING count(*) >= 8"""))
+def streaming_rule(spark, d):
+    events = raw_stream(spark, d).where("log_type = 'conn' and resp_p = 22").select("ts", c("orig_h").alias("src_ip"), c("resp_h").alias("dst_ip"))
+    rows = _collect_table(spark, J.sliding_counts(events, R.SSH_BRUTE_FORCE), mode="complete")
+    return rows.select("src_ip", "dst_ip", F.unix_micros("ts").alias("us"), "hits")
+
+
+@query("w08_failure_isolation", O.lines("SELECT NOT (e % 97 <> 5 AND e % 101 <> 6 AND e % 103 <> 7) AS parse_error, count(*) AS rows FROM lines GROUP BY 1"))
+def failure_isolation(spark, d):
+    return J.malformed_counts(parsed_lines(spark, d))
+
+
+@query("w09_progress", O.hardened("SELECT count(*) AS documents_read, max(last_us) AS last_us FROM hard"))
+@query("s16_job_checkpoint", O.hardened("SELECT count(*) AS documents_read, max(last_us) AS last_us FROM hard"))
+def progress(spark, d):
+    return session_table(spark, d).agg(F.count("*").alias("documents_read"), F.max(F.unix_micros("last_seen")).alias("last_us"))
+
+
+@query("w07_score_new_only", O.behaviors(f"SELECT count(*) AS n FROM (SELECT count(*) FILTER (WHERE eligible) AS u FROM rows_all GROUP BY {O.BY_WIN}) w WHERE u >= 2 AND u % 2 = 1"))
+def score_new_only(spark, d):
+    from tidewatch.operators.forest import unscored
+    from tidewatch.plans.views import behavior_table
+    from tidewatch.settings import Settings
+    done = c("quality.session_count_used") % 2 == 0
+    b = behavior_table(spark, d).withColumn("ml", c("ml").withField("scoring_status", F.when(done, "scored").otherwise("not_scored")))
+    return unscored(b, Settings(scoring_page=1000000)).agg(F.count("*").alias("n"))

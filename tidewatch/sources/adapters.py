@@ -6,6 +6,8 @@ construction and JSON access are spelled per engine (``ARR(`` and ``JSON_K``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.schemas import conform_raw
@@ -53,7 +55,7 @@ SELECT e, g, k, us, 'R' || lpad(CAST(e AS STRING), 9, '0') AS raw_id, 'zeek-logs
     CASE WHEN log_type = 'conn' THEN CASE g % 6 WHEN 1 THEN 'ssl' WHEN 2 THEN 'dns' WHEN 3 THEN 'SSL, http' WHEN 4 THEN 'ssh' WHEN 5 THEN '' END END AS service,
     CASE WHEN log_type = 'conn' THEN CASE g % 5 WHEN 0 THEN 'REJ' WHEN 1 THEN 'S0' WHEN 2 THEN 'RSTO' WHEN 3 THEN 'OTH' ELSE 'SF' END END AS conn_state,
     CASE WHEN log_type = 'conn' THEN CASE WHEN g % 7 = 0 THEN 'Hr' ELSE 'ShADadFf' END END AS history,
-    CASE WHEN log_type = 'conn' THEN v / 8 END AS duration,
+    CASE WHEN log_type = 'conn' THEN floor(v * 8) / 8.0E0 END AS duration,
     CASE WHEN log_type = 'conn' AND g % 13 <> 0 THEN CAST(floor(v * 100) AS BIGINT) END AS orig_bytes,
     CASE WHEN log_type = 'conn' AND g % 13 <> 0 THEN g % 1000 END AS resp_bytes,
     CASE WHEN log_type = 'conn' THEN g % 9 END AS orig_pkts, CASE WHEN log_type = 'conn' THEN g % 5 END AS resp_pkts,
@@ -203,13 +205,24 @@ def oracle_text(text: str) -> str:
     return text.replace("ARR(", "list_value(").replace("JSON_K", "json_extract_string(props, '$.k')")
 
 
-def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed raw-log rows (``doc`` carries a small JSON text)."""
-    df = spark_sql(spark, sf_dir, RAW_SQL).withColumns({
+def _finish(df: DataFrame) -> DataFrame:
+    return conform_raw(df.withColumns({
         "ts": F.timestamp_micros("us"), "doc": F.format_string('{"e":%d,"k":%d}', "e", "k"),
         "ingest_ts": F.timestamp_micros(F.col("us") + F.lit(60000000)),
-    })
-    return conform_raw(df)
+    }))
+
+
+def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed raw-log rows (``doc`` carries a small JSON text)."""
+    return _finish(spark_sql(spark, sf_dir, RAW_SQL))
+
+
+def raw_columns(events: DataFrame) -> DataFrame:
+    """The raw-log view over any frame of events, also a streaming one."""
+    name = f"events_{uuid.uuid4().hex}"
+    events.createOrReplaceTempView(name)
+    text = RAW_SQL.replace("ARR(", "array(").replace("JSON_K", "get_json_object(props, '$.k')").replace("FROM events", f"FROM {name}")
+    return _finish(events.sparkSession.sql(text))
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
