@@ -59,7 +59,6 @@ def failure_isolation(spark, d):
 
 
 @query("w09_progress", O.hardened("SELECT count(*) AS documents_read, max(last_us) AS last_us FROM hard"))
-@query("s16_job_checkpoint", O.hardened("SELECT count(*) AS documents_read, max(last_us) AS last_us FROM hard"))
 def progress(spark, d):
     return session_table(spark, d).agg(F.count("*").alias("documents_read"), F.max(F.unix_micros("last_seen")).alias("last_us"))
 
@@ -72,3 +71,14 @@ def score_new_only(spark, d):
     done = c("quality.session_count_used") % 2 == 0
     b = behavior_table(spark, d).withColumn("ml", c("ml").withField("scoring_status", F.when(done, "scored").otherwise("not_scored")))
     return unscored(b, Settings(scoring_page=1000000)).agg(F.count("*").alias("n"))
+
+
+@query("s16_job_checkpoint", O.hardened("SELECT 'sessions' AS job, max(last_us) - 1800000000 AS start_us, max(last_us) + 60000000 AS end_us FROM hard"))
+def job_checkpoint(spark, d):
+    from tidewatch.settings import DEFAULTS
+    from tidewatch.sources.tables import next_window
+    s = session_table(spark, d)
+    state = s.agg(F.max("last_seen").alias("last_successful_timestamp")).withColumn("job", F.lit("sessions"))
+    now = s.agg(F.max("last_seen")).scalar() + F.make_dt_interval(mins=F.lit(1))
+    rows = next_window(state, "sessions", now, DEFAULTS.session_overlap_seconds, DEFAULTS.session_initial_lookback_seconds)
+    return rows.select("job", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"))
