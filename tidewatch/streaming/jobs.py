@@ -62,6 +62,8 @@ def sliding_counts(events: DataFrame, rule: Rule, slide: str = "30 seconds", del
 def suppress_stream(matches: DataFrame, key: Sequence[str], realert_seconds: int, schema: str) -> DataFrame:
     """Realert suppression on a stream: per key only the time of the last kept match is state.
 
+    There is no timeout (a processing-time one would keep run-once jobs alive): one number per
+    key that ever alerted stays in the state store.
     ``matches`` has the key columns and ``us``; ``schema`` describes exactly those columns.
     """
     wait = realert_seconds * US
@@ -76,15 +78,8 @@ def suppress_stream(matches: DataFrame, key: Sequence[str], realert_seconds: int
                     last = us
             yield pdf.iloc[chosen]
         state.update((last,))
-        state.setTimeoutDuration(2 * realert_seconds * 1000)
 
-    def expire_or_keep(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return iter(())
-        return keep(k, batches, state)
-
-    return matches.groupBy(*key).applyInPandasWithState(expire_or_keep, schema, "last bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return matches.groupBy(*key).applyInPandasWithState(keep, schema, "last bigint", "append", GroupStateTimeout.NoTimeout)
 
 
 def progress_rows(query: StreamingQuery) -> list[dict]:
