@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import byte_bpe, length_histogram, simple8b
+from tidewatch.llm import byte_bpe, fertility, hilbert, kd_search, length_histogram, mixing, simple8b
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,24 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_mixing"] = mixing.PLAN_SQL
+
+
+@query
+def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.plan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.histogram(length_histogram.lengths(table(spark, sf_dir, "documents")))
@@ -31,3 +49,11 @@ def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op9_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.every_nth(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op9_kd_search"] = kd_search.EVERY_NTH_SQL
