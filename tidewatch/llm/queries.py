@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import byte_bpe, fertility, hilbert, kd_search, length_histogram, mixing, simple8b
+from tidewatch.llm import byte_bpe, chosen_path, fertility, hilbert, kd_search, length_histogram, mixing, simple8b, toxicity
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
@@ -41,6 +46,14 @@ def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.histogram(length_histogram.lengths(table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_chosen_path"] = chosen_path.REPORT_SQL
+
+
 @query
 def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.write_and_read(table(spark, sf_dir, "documents"))
