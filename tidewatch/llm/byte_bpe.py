@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.common import prepare, text_of
 from tidewatch.llm.vocab import ByteBpe, loaded, ranks_bpe, read_file, read_ranks, vocabulary_path
@@ -101,6 +101,11 @@ def decode(frame: DataFrame, ids: str = "ids", path: str | None = None) -> DataF
     return frame.select(*[F.col(f"`{c}`") for c in frame.columns if c != "decoded"], run(F.col(ids)).alias("decoded"))
 
 
+def equal_text(decoded: str = "decoded", text: str = "text") -> Column:
+    """Whether decoded bytes are those of the text."""
+    return F.col(decoded) == text_of(text).cast("binary")
+
+
 def digests(frame: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """Adds ``n_tokens``, ``ids_sha256`` (little-endian unsigned 32-bit) and ``decoded_sha256``, from encoding and decoding each text."""
     def work(texts, data):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import byte_bpe, chosen_path, fertility, hilbert, kd_search, length_histogram, mixing, simple8b, toxicity
+from tidewatch.llm import byte_bpe, chosen_path, fertility, hilbert, html_text, kd_search, length_histogram, mixing, simple8b, toxicity
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op9_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_kd_search"] = kd_search.EVERY_NTH_SQL
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(table(spark, sf_dir, "pages"))
