@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.common import prepare, text_of
@@ -88,7 +89,7 @@ def encode(frame: DataFrame, text: str = "text", path: str | None = None, offset
 
 
 def decode(frame: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
-    """Adds ``decoded`` (binary), the bytes that the ids stand for; null ids give none."""
+    """Adds ``decoded`` (binary), the bytes that the ids stand for; a null list gives none."""
     spark = prepare(frame.sparkSession)
     shared = spark.sparkContext.broadcast(read_file(path or vocabulary_path(MULTI)))
 
@@ -96,7 +97,11 @@ def decode(frame: DataFrame, ids: str = "ids", path: str | None = None) -> DataF
     def run(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = loaded(byte_table, shared.value)
         for batch in lists:
-            yield pa.array([decode_ids(np.array(x or [], np.int64), table).tobytes() for x in batch.to_pylist()], pa.binary())
+            flat = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)  # without the lists that are null
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False))
+            text, sizes = decode_ids(flat, table), np.concatenate([[0], np.cumsum(table[2][flat])])
+            edges = sizes[np.concatenate([[0], ends]).astype(np.int64)]
+            yield pa.array([text[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())
 
     return frame.select(*[F.col(f"`{c}`") for c in frame.columns if c != "decoded"], run(F.col(ids)).alias("decoded"))
 

@@ -51,17 +51,17 @@ def runs(texts: Iterable[str], size: int = 1 << 21) -> Iterator[list[str]]:
 
 
 def in_order(df: DataFrame, *order: Column) -> DataFrame:
-    """``df`` stored in a global order, with ``part`` (range partition) and ``place`` (row within it, from 0).
+    """``df`` stored in a global order, with ``__part`` (range partition) and ``__place`` (row within it, from 0).
 
     The order needs a full tie-break. Partitions come from sampled ranges, so a value that many rows
     share is split as long as the later order columns differ.
     """
     row = F.monotonically_increasing_id()
     sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(sorted_rows.select("*", F.shiftright(row, 33).cast("int").alias("part"), row.bitwiseAND((1 << 33) - 1).alias("place")), "ordered")
+    return stored(sorted_rows.select("*", F.shiftright(row, 33).cast("int").alias("__part"), row.bitwiseAND((1 << 33) - 1).alias("__place")), "ordered")
 
 
-def before_parts(parts: DataFrame, *sums: str) -> DataFrame:
-    """Per ``part``, each sum over all earlier parts as ``before_<sum>``; one row per partition, so one task is enough."""
-    window = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select("part", *[F.coalesce(F.sum(s).over(window), F.lit(0)).cast("long").alias(f"before_{s}") for s in sums])
+def before_parts(parts: DataFrame, part: str, *sums: str) -> DataFrame:
+    """Per ``part``, each sum over all earlier parts as ``__before_<sum>``; one row per partition, so one task is enough."""
+    window = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(part, *[F.coalesce(F.sum(s).over(window), F.lit(0)).cast("long").alias(f"__before_{s}") for s in sums])

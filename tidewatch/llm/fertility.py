@@ -158,9 +158,10 @@ def _quartiles(rows: DataFrame, value: str, step: float) -> DataFrame:
 
 def bands(measures: DataFrame) -> DataFrame:
     """Per ``__group``: ``centre`` and ``spread`` of characters per token (of one token), ``most_fallback``, ``least_entropy``."""
+    tokens = F.greatest(F.col("__m.n_tokens"), F.lit(1))
     rows = measures.where(~base_failed()).select(
-        "__group", (F.col("__m.word_chars") / F.col("__m.n_tokens")).alias("fertility"), F.col("__m.n_tokens").alias("n"),
-        (F.col("__m.n_fallback") / F.col("__m.n_tokens")).alias("fallback"), F.col("__m.entropy").alias("entropy"),
+        "__group", (F.col("__m.word_chars") / tokens).alias("fertility"), tokens.alias("n"),
+        (F.col("__m.n_fallback") / tokens).alias("fallback"), F.col("__m.entropy").alias("entropy"),
     )
     rows = stored(rows, "fertility")
     centre = stored(_quartiles(rows, "fertility", 0.005).select("__group", F.col("mid").alias("centre")), "centres")
@@ -174,10 +175,11 @@ def bands(measures: DataFrame) -> DataFrame:
 def judged(measures: DataFrame) -> DataFrame:
     """``measures`` with ``__failed`` (base rules) and ``__kept``. The bands are stored, so the planner knows their size and broadcasts them if small."""
     m = lambda name: F.col(f"__m.{name}")
-    limits = bands(measures).withColumnRenamed("__group", "__of")
-    fertile = m("word_chars") / m("n_tokens") >= F.col("centre") - REACH * F.col("spread") / F.sqrt(m("n_tokens"))
-    varied = m("entropy") >= F.least("least_entropy", ENTROPY_SHARE * F.log2(m("n_tokens").cast("double")))
-    good = fertile & (m("n_fallback") / m("n_tokens") <= F.col("most_fallback")) & varied
+    tokens = F.greatest(m("n_tokens"), F.lit(1))
+    limits = bands(measures).select(F.col("__group").alias("__of"), F.struct("centre", "spread", "most_fallback", "least_entropy").alias("__band"))
+    fertile = m("word_chars") / tokens >= F.col("__band.centre") - REACH * F.col("__band.spread") / F.sqrt(tokens)
+    varied = m("entropy") >= F.least("__band.least_entropy", ENTROPY_SHARE * F.log2(tokens.cast("double")))
+    good = fertile & (m("n_fallback") / tokens <= F.col("__band.most_fallback")) & varied
     joined = measures.join(limits, F.col("__group") == F.col("__of"), "left").withColumn("__failed", base_failed())
     return joined.withColumn("__kept", ~F.col("__failed") & F.coalesce(good, F.lit(True)))
 

@@ -79,10 +79,10 @@ def shards(frame: DataFrame, n_shards: int, index: str, *ties: str) -> DataFrame
     """``frame`` with ``shard`` and ``slot``: runs of the order by ``index`` and ``ties``, whose counts are at most one apart."""
     rest = [c for c in frame.columns if c not in ("shard", "slot")]
     ordered = in_order(frame.select(*rest), *[F.col(c).asc_nulls_first() for c in (index, *ties)])
-    counts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    counts = ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("rows"))
     total = counts.agg(F.sum("rows")).first()[0] or 1
     # One row per range partition.
-    rank = ordered.join(F.broadcast(before_parts(counts, "rows")), "part").withColumn("__rank", F.col("before_rows") + F.col("place"))
+    rank = ordered.join(F.broadcast(before_parts(counts, "__part", "rows")), "__part").withColumn("__rank", F.col("__before_rows") + F.col("__place"))
     shard = F.expr(f"CAST(__rank * {n_shards} DIV {total} AS INT)")
     first = F.expr(f"(shard * CAST({total} AS BIGINT) + {n_shards - 1}) DIV {n_shards}")
     return rank.withColumn("shard", shard).withColumn("slot", F.col("__rank") - first).select(*rest, "shard", "slot")

@@ -40,8 +40,8 @@ def takes(seed: Column) -> Column:
 def cyclic_weights(sources: DataFrame, cycle: int = 3) -> DataFrame:
     """``sources`` with ``weight`` 1, 2 .. ``cycle``, repeating in code-point order of ``source``, null last."""
     ordered = in_order(sources, F.col("source").asc_nulls_last())
-    base = before_parts(ordered.groupBy("part").agg(F.count(F.lit(1)).alias("rows")), "rows")
-    placed = ordered.join(base, "part").withColumn("weight", 1 + F.pmod(F.col("before_rows") + F.col("place"), F.lit(cycle)))
+    base = before_parts(ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("rows")), "__part", "rows")
+    placed = ordered.join(base, "__part").withColumn("weight", 1 + F.pmod(F.col("__before_rows") + F.col("__place"), F.lit(cycle)))
     return placed.select(*sources.columns, "weight")
 
 

@@ -174,7 +174,7 @@ def read_segments(files: DataFrame) -> DataFrame:
     sums = files.groupBy("part").agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("ids"))
     docs = files.select("part", "before", "doc_ids", "sizes", "payload").mapInArrow(read, "part int, doc_id bigint, first bigint, n_tokens bigint, ids_crc32 bigint")
     # One row per written partition, whatever the number of documents.
-    return docs.join(F.broadcast(before_parts(sums, "ids")), "part").select("doc_id", (F.col("first") + F.col("before_ids")).alias("start"), "n_tokens", "ids_crc32")
+    return docs.join(F.broadcast(before_parts(sums, "part", "ids")), "part").select("doc_id", (F.col("first") + F.col("__before_ids")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def write_and_read(frame: DataFrame, **options) -> DataFrame:
