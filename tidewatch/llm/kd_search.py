@@ -75,7 +75,9 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 def _meet(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        dim = (left if left.num_rows else right).column("dim")[0].as_py()
+        if not left.num_rows or not right.num_rows:
+            return pa.table({name: pa.array([], pa.int64()) for name in ("query_id", "id", "score")})
+        dim = left.column("dim")[0].as_py()
         query_ids = right.column("query_id").to_numpy()
         best, found = search(left.column("id").to_numpy(), _matrix(left.column("vec"), dim), query_ids, _matrix(right.column("asked"), dim), right.column("kth").to_numpy(), k)
         keep = best > NONE
