@@ -159,6 +159,11 @@ class Memo:
         self.met[:self.pieces] += np.bincount(codes, minlength=self.pieces)
         return codes
 
+    def ids_of(self, piece: str) -> list[int] | None:
+        """Ids of a piece that is remembered."""
+        code = self.codes.get(piece)
+        return None if code is None else self.flat[self.starts[code]:self.starts[code] + self.sizes[code]].tolist()
+
     def counts(self, codes: np.ndarray) -> np.ndarray:
         return self.sizes[codes]
 
@@ -182,7 +187,7 @@ class ByteBpe:
     def __init__(self, tokenizer):
         self.model, self.pattern = tokenizer.model, tokenizer.pre_tokenizer
         self.alphabet = {byte: ord(c) for byte, c in enumerate(byte_alphabet()) if byte != ord(c)}
-        self.memo = Memo(self._encode)
+        self.memo = Memo(self._encode, limit=800_000)
 
     def _mapped(self, piece: str) -> str:
         """The piece's bytes as characters of the byte alphabet."""
@@ -198,7 +203,15 @@ class ByteBpe:
 
     def _encode(self, names: list[str]) -> list[list[int]]:
         pieces = [self._pieces(name) for name in names]
-        ids = {p: [t.id for t in self.model.tokenize(p)] for p in dict.fromkeys(p for one in pieces for p in one)}
+        tokenize = self.model.tokenize
+        ids: dict[str, list[int]] = {}
+        for name, one in zip(names, pieces):
+            known = self.memo.ids_of(name[:-1]) if len(one) == 2 and one[1] == name[-1] else None  # a word that has been met without its stop
+            if known is not None:
+                ids[one[0]] = known
+            for piece in one:
+                if piece not in ids:
+                    ids[piece] = [t.id for t in tokenize(piece)]
         return [ids[one[0]] if len(one) == 1 else [i for p in one for i in ids[p]] for one in pieces]
 
     def _chunks(self, text: str) -> list[str]:
