@@ -78,4 +78,4 @@ def test_enrichment_interval_bounds(spark):
     alerts = df.where("dst_port = 1").selectExpr("src_ip", "dst_ip", "unix_micros(ts) as us")
     full = df.selectExpr("*", "'tcp' as transport", "named_struct('state', if(dst_port = 4, 'REJ', 'SF')) as conn", "'ssh' as protocol")
     r = R.enrich_scans(alerts, full).first()
-    assert (r.unique_ports, r.ports_sample, r.interesting_ports, r.states) == (3, [1, 2, 4], [1, 2], {"REJ": 1, "SF": 2})
+    assert (r.unique_ports, r.ports, r.interesting_ports, r.states) == (3, [1, 2, 4], [1, 2], {"REJ": 1, "SF": 2})

@@ -70,6 +70,25 @@ def with_eligibility(sessions: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- keys
 
+def entity_kind(mode: str) -> Column:
+    """What the entity of a session is: the asset side's address, a local side's, or the source's in the host modes.
+
+    The texts are fixed values.
+    """
+    sensed = blank_to_null(c("sensor")).isNotNull()
+    either = lambda with_sensor, alone: F.when(sensed, F.lit(with_sensor)).otherwise(F.lit(alone))
+    if mode in ("asset_sensor", "local_asset_sensor", "monitored_asset_sensor"):
+        side = F.concat(either("local_asset.ip+sensor.name", "local_asset.ip"), F.lit(":"), F.coalesce(blank_to_null(c("asset_side")), F.lit("unknown")))
+        return F.when(blank_to_null(c("asset_ip")).isNotNull(), side).when(
+            c("src_local") & blank_to_null(c("src_ip")).isNotNull(), either("local_asset.source.ip+sensor.name", "local_asset.source.ip")
+        ).otherwise(either("local_asset.destination.ip+sensor.name", "local_asset.destination.ip"))
+    if mode in ("host_sensor", "source_sensor", "source.ip+sensor.name"):
+        return either("source.ip+sensor.name", "source.ip")
+    if mode in ("sensor_host", "sensor_source"):
+        return either("sensor.name+source.ip", "source.ip")
+    return F.lit("source.ip")
+
+
 def with_behavior_key(sessions: DataFrame, spec: FeatureSpec = ASSET_15M, mode: str = "asset_sensor") -> DataFrame:
     """Add entity, sensor_key ('' = none) and window_start; rows without an entity or a time are dropped."""
     src, dst, asset = (blank_to_null(c(n)) for n in ("src_ip", "dst_ip", "asset_ip"))
@@ -81,7 +100,7 @@ def with_behavior_key(sessions: DataFrame, spec: FeatureSpec = ASSET_15M, mode:
         if mode not in ("host_sensor", "source_sensor", "source.ip+sensor.name", "sensor_host", "sensor_source"):
             sensor = F.lit("")
     start = floor_time(F.coalesce("first_seen", "ts"), spec.window_seconds)
-    keyed = sessions.withColumns({"entity": entity, "sensor_key": sensor, "window_start": start})
+    keyed = sessions.withColumns({"entity": entity, "sensor_key": sensor, "window_start": start, "entity_kind": entity_kind(mode)})
     return keyed.where(c("entity").isNotNull() & c("window_start").isNotNull())
 
 
@@ -224,6 +243,7 @@ def base_features(rows: DataFrame) -> DataFrame:
         "ssh_nonstandard_port_count": n(c("m_ssh_port")), "ssh_auth_success_count": n(c("m_ssh_ok")),
         "ssh_auth_attempt_sum": total(c("m_ssh_attempts")),
         "notice_count": total(c("m_notices")), "weird_count": total(c("m_weirds")),
+        "entity_type": F.min_by("entity_kind", first),
         "asset": F.min_by(F.struct(*[c(f"asset_{f}").alias(f) for f in ("spoke", "vnet", "subnet", "subnet_cidr")]), first),
     }
     return rows.groupBy(*KEY).agg(*[v.alias(k) for k, v in aggs.items()])
@@ -246,7 +266,7 @@ def facet_summary(counts: DataFrame, limit: int = 10) -> DataFrame:
     listed = [*TOP_FACETS.values(), "excluded_reason"]
     ranked = (
         counts.where(c("facet").isin(*listed)).withColumn("rank", F.row_number().over(order))
-        .where(c("rank") <= limit + 20).where((c("rank") <= limit) | (c("facet") == "excluded_reason"))
+        .where((c("rank") <= limit) | (c("facet") == "excluded_reason"))
     )
     lists = ranked.groupBy(*KEY).agg(F.collect_list(F.struct("facet", "rank", "value", "n")).alias("ranked"))
 
@@ -300,7 +320,7 @@ def build_behaviors(sessions: DataFrame, spec: FeatureSpec = ASSET_15M, settings
     return joined.select(
         joined_id(spec.feature_set, c("sensor_key"), c("entity"), start).alias("behavior_id"),
         F.lit(spec.behavior_type).alias("behavior_type"), F.lit(spec.feature_set).alias("feature_set"),
-        F.when(sensor.isNotNull(), "local_asset.ip+sensor.name:asset").otherwise("local_asset.ip:asset").alias("entity_type"),
+        "entity_type",
         "entity", sensor.alias("sensor"), "window_start",
         F.timestamp_seconds(F.unix_seconds("window_start") + spec.window_seconds).alias("window_end"), "asset",
         F.struct(*[v.alias(n) for n, v in feature.items()]).alias("features"),
@@ -334,7 +354,7 @@ def affected_sessions(all_sessions: DataFrame, changed: DataFrame, spec: Feature
     a peer's window is never rewritten from a part of its sessions.
     """
     touched = changed.transform(with_behavior_key, spec, mode).select(*KEY).distinct()
-    return all_sessions.transform(with_behavior_key, spec, mode).join(touched, KEY, "left_semi").drop(*KEY)
+    return all_sessions.transform(with_behavior_key, spec, mode).join(touched, KEY, "left_semi").drop(*KEY, "entity_kind")
 
 
 def preserve_ml_state(incoming: DataFrame, stored: DataFrame, tolerance: float = 1e-9) -> DataFrame:

@@ -22,7 +22,7 @@ MODEL_NAME = "robust_scaled_isolation_forest"
 
 def training_rows(behaviors: DataFrame, current: DataFrame | None = None, feedback: DataFrame | None = None,
                   settings: Settings = DEFAULTS, require_scored: bool = False) -> DataFrame:
-    """Ready rows of good quality, newest first up to the training cap, without the rows being
+    """Ready rows of good quality, without the rows being
     scored now and without windows an analyst marked as wrong or benign.
 
     ``require_scored`` restores the original's rule that training rows must already be scored,
@@ -31,7 +31,6 @@ def training_rows(behaviors: DataFrame, current: DataFrame | None = None, feedba
     rows = behaviors.where(c("ml.ready") & (c("quality.data_quality_score") >= settings.training_min_quality))
     if require_scored:
         rows = rows.where(c("ml.scoring_status") == "scored")
-    rows = rows.orderBy(F.desc("window_start"), "behavior_id").limit(settings.training_max_rows)
     if current is not None:
         rows = rows.join(current.select("behavior_id"), "behavior_id", "left_anti")
     if feedback is not None:
@@ -232,11 +231,10 @@ def with_status(behaviors: DataFrame, status: str) -> DataFrame:
 
 
 def unscored(behaviors: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Ready rows of good quality that still need a score, oldest first, one page."""
-    rows = behaviors.where(
+    """Ready rows of good quality that still need a score."""
+    return behaviors.where(
         c("ml.ready") & (c("quality.data_quality_score") >= settings.training_min_quality)
         & ~F.coalesce(c("ml.scoring_status") == "scored", F.lit(False)))
-    return rows.orderBy("window_start", "behavior_id").limit(settings.scoring_page)
 
 
 def score_behaviors(current: DataFrame, training: DataFrame, spec: FeatureSpec, settings: Settings = DEFAULTS) -> DataFrame:

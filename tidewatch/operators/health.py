@@ -248,48 +248,91 @@ def table_presence(tables: dict[str, DataFrame], required: Sequence[str] = ("raw
 
 # ---------------------------------------------------------------- metric text
 
-_METRIC = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+([-+]?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)"
-_LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
+_NAME = "^[A-Za-z_:][0-9A-Za-z_:]*$"
+
+
+def _unescaped(value: Column) -> Column:
+    """A quoted label value as its text: backslash, quote and newline were escaped."""
+    mark = F.lit("\x00")
+    halfway = F.replace(F.replace(F.replace(value, F.lit("\\\\"), mark), F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n"))
+    return F.replace(halfway, mark, F.lit("\\"))
 
 
 def parse_metrics(lines: DataFrame) -> DataFrame:
-    """Exposition text lines to (name, labels, value, series); comments and bad lines are dropped."""
+    """Exposition text lines to (name, labels, value, sampled_at, series); comments and bad lines are dropped.
+
+    A line is a name, optional labels in braces, a number (NaN and infinities too) and an optional time in milliseconds. Quoted label
+    values are taken out first, so that braces, commas and blanks in them do not matter to the cuts that follow.
+    """
+    quoted = r'"(?:[^"\\]|\\.)*"'
     text = F.trim("line")
-    found = lines.where((text != "") & ~text.startswith("#") & text.rlike(_METRIC))
-    raw = F.regexp_extract(text, _METRIC, 2)
-    keys, values = (F.regexp_extract_all(raw, F.lit(_LABEL), F.lit(i)) for i in (1, 2))
+    bare = F.regexp_replace(text, quoted, '""')
+    rows = lines.where((text != "") & ~text.startswith("#")).withColumns({"_bare": bare, "_quoted": F.regexp_extract_all(text, F.lit(quoted), F.lit(0))})
+    braced = F.locate("{", "_bare") > 0
+    head = F.when(braced, F.substring_index("_bare", "{", 1)).otherwise(F.regexp_substr("_bare", F.lit("^[^ \t]+")))
+    inner = F.when(braced, F.substring_index(F.substring_index("_bare", "}", 1), "{", -1)).otherwise("")
+    tail = F.when(braced, F.substring_index("_bare", "}", -1)).otherwise(F.expr("substring(_bare, length(regexp_substr(_bare, '^[^ \\t]+')) + 1)"))
+    rows = rows.withColumns({
+        "name": F.trim(head), "_closed": ~braced | (F.locate("}", "_bare") > 0), "_tail": F.split(F.trim(tail), "[ \t]+"),
+        "_labels": F.filter(F.transform(F.split(inner, ","), F.trim), lambda x: x != ""),
+    })
+    number = F.get("_tail", F.lit(0))
+    rows = rows.withColumns({"value": number.try_cast("double"), "_time": F.get("_tail", F.lit(1)).try_cast("bigint")})
+    whole = F.forall("_labels", lambda x: x.endswith('=""')) & (F.size("_labels") == F.size("_quoted"))
+    good = c("name").rlike(_NAME) & c("_closed") & whole & c("value").isNotNull() & ~number.rlike("[dDfF]$") & (F.size("_tail") <= 2) & ((F.size("_tail") == 1) | c("_time").isNotNull())
+    keys = F.transform("_labels", lambda x: F.trim(F.substring_index(x, "=", 1)))
+    pairs = F.zip_with(keys, "_quoted", lambda k, q: F.struct(k.alias("key"), _unescaped(F.substring(q, F.lit(2), F.length(q) - 2)).alias("value")))
+    rows = rows.where(good).withColumn("_pairs", pairs)
     # A repeated label keeps its last value.
-    last = F.filter(F.zip_with(keys, F.sequence(F.lit(0), F.greatest(F.size(keys) - 1, F.lit(0))), lambda k, i: F.struct(k.alias("k"), i.alias("i"))),
-                    lambda e: e.k.isNotNull() & ~F.array_contains(F.slice(keys, e.i + 2, F.size(keys) + 1), e.k))
-    labels = F.map_from_entries(F.transform(last, lambda e: F.struct(e.k.alias("key"), F.regexp_replace(F.get(values, e.i), r'\\"', '"').alias("value"))))
+    last = F.filter("_pairs", lambda e, at: ~F.exists(F.slice("_pairs", at + 2, F.size("_pairs")), lambda later: later.key == e.key))
     rest = [x for x in lines.columns if x != "line"]
-    out = found.select(*rest, F.regexp_extract(text, _METRIC, 1).alias("name"), labels.alias("labels"), F.regexp_extract(text, _METRIC, 3).cast("double").alias("value"))
-    pairs = F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat(e.key, F.lit("="), e.value)))
-    return out.withColumn("series", F.concat("name", F.lit("{"), F.array_join(pairs, ","), F.lit("}")))
+    out = rows.select(*rest, "name", F.map_from_entries(last).alias("labels"), "value", F.timestamp_millis("_time").alias("sampled_at"))
+    named = F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat(e.key, F.lit("="), e.value)))
+    return out.withColumn("series", F.concat("name", F.lit("{"), F.array_join(named, ","), F.lit("}")))
 
 
-def counter_deltas(samples: DataFrame, time: str = "scraped_at") -> DataFrame:
-    """Growth since the previous scrape of a series: null at first sight, zero after a reset."""
-    before = F.lag("value").over(Window.partitionBy("series").orderBy(time))
-    return samples.withColumn("delta", F.when(before.isNull(), None).when(c("value") < before, 0.0).otherwise(c("value") - before))
+def counter_deltas(samples: DataFrame, time: str = "scraped_at", bucket_seconds: int = 3600) -> DataFrame:
+    """Growth since the previous scrape of a series: null at first sight, zero after a reset.
+
+    Time is cut into buckets, so a series that holds most samples is many groups; a bucket's first sample looks at the last value of
+    the bucket before it, found among one row per series and bucket.
+    """
+    rows = samples.withColumn("_bucket", F.floor(F.unix_micros(time) / (bucket_seconds * 1_000_000)))
+    ends = rows.groupBy("series", "_bucket").agg(F.max_by("value", time).alias("_last"))
+    earlier = ends.select("series", "_bucket", F.lag("_last").over(Window.partitionBy("series").orderBy("_bucket")).alias("_earlier"))
+    joined = rows.join(earlier, ["series", "_bucket"])
+    inside = F.lag("value").over(Window.partitionBy("series", "_bucket").orderBy(time))
+    before = F.coalesce(inside, c("_earlier"))
+    return joined.withColumn("delta", F.when(before.isNull(), None).when(c("value") < before, 0.0).otherwise(c("value") - before)).drop("_bucket", "_earlier")
 
 
 def _any_word(text: Column, words: Sequence[str]) -> Column:
     return text.rlike("|".join(words))
 
 
-def classify_series(samples: DataFrame) -> DataFrame:
-    """``kind`` is intentional, error or other."""
+# Words in series names and labels by which counters are judged.
+INTENTIONAL_COUNTER, INTENTIONAL_PREFIX, INTENTIONAL_FILTER = "vector_component_discarded_events_total", "zeek_drop_", "zeek_filter"
+GAUGE_WORDS, GAUGE_ENDS = ("latency", "duration", "utilization"), ("_bucket", "_sum")
+COUNTER_WORDS, COUNTER_ENDS = ("events_total", "event_bytes_total"), ("_total", "_count")
+PROBLEM_WORDS = {"vector": ("error", "discard", "drop", "failed", "failures"), "dataprepper": ("error", "fail", "drop", "reject", "dlq", "exception")}
+PROBLEM_LABEL_WORDS = ("error", "failed", "failure")
+
+
+def classify_series(samples: DataFrame, component: str = "vector") -> DataFrame:
+    """``kind`` is intentional, error or other. Series of the collector are judged by their kind and labels too, others by name only."""
     name = F.lower("name")
+    problem = _any_word(name, PROBLEM_WORDS[component])
+    if component != "vector":
+        return samples.withColumn("kind", F.when(problem, "error").otherwise("other"))
     label = lambda k: F.coalesce(F.lower(F.try_element_at(c("labels"), F.lit(k))), F.lit(""))
-    blob = F.lower(F.array_join(F.map_values("labels"), " "))
-    intentional = (label("intentional") == "true") | (
-        (name == "vector_component_discarded_events_total") & (label("component_kind") == "transform") & (label("component_type") == "filter")
-        & (label("component_id").startswith("zeek_drop_") | (label("component_id") == "zeek_filter")))
-    internal = name.rlike("(_bucket|_sum)$") | _any_word(name, ("latency", "duration", "utilization"))
-    counter = name.rlike("(_total|_count)$") | _any_word(name, ("events_total", "event_bytes_total"))
-    problem = _any_word(name, ("error", "discard", "drop", "failed", "failures")) | _any_word(blob, ("error", "failed", "failure"))
-    return samples.withColumn("kind", F.when(intentional, "intentional").when(~internal & counter & problem, "error").otherwise("other"))
+    ends = lambda options: reduce(lambda a, b: a | b, [name.endswith(e) for e in options])
+    from_filter = (label("component_kind") == "transform") & (label("component_type") == "filter")
+    named = label("component_id").startswith(INTENTIONAL_PREFIX) | (label("component_id") == INTENTIONAL_FILTER)
+    intentional = (label("intentional") == "true") | ((name == INTENTIONAL_COUNTER) & from_filter & named)
+    gauge = ends(GAUGE_ENDS) | _any_word(name, GAUGE_WORDS)
+    counter = ends(COUNTER_ENDS) | _any_word(name, COUNTER_WORDS)
+    labelled = _any_word(F.lower(F.array_join(F.map_values("labels"), " ")), PROBLEM_LABEL_WORDS)
+    return samples.withColumn("kind", F.when(intentional, "intentional").when(~gauge & counter & (problem | labelled), "error").otherwise("other"))
 
 
 def error_check(deltas: DataFrame, component: str = "vector") -> DataFrame:
@@ -302,18 +345,23 @@ def error_check(deltas: DataFrame, component: str = "vector") -> DataFrame:
     return check_row(one, f"{component}.metrics", component, status, text, new_error_delta=c("bad"), ignored_intentional_delta=c("ignored"))
 
 
-def sum_matching(samples: DataFrame, name_contains: Sequence[str] = (), label_contains: dict[str, str] | None = None) -> DataFrame:
-    hit = F.lit(True)
-    if name_contains:
-        hit = reduce(lambda a, b: a | b, [F.lower("name").contains(w.lower()) for w in name_contains])
-    for k, v in (label_contains or {}).items():
-        hit = hit & F.coalesce(F.lower(F.try_element_at(c("labels"), F.lit(k))).contains(v.lower()), F.lit(v == ""))
-    return samples.agg(F.coalesce(F.sum(F.when(hit, c("value"))), F.lit(0.0)).alias("total"))
+def name_has(*words: str) -> Column:
+    """Series whose name has one of the words, in any case."""
+    return _any_word(F.lower("name"), [w.lower() for w in words])
+
+
+def label_has(label: str, word: str) -> Column:
+    return F.coalesce(F.lower(F.try_element_at(c("labels"), F.lit(label))), F.lit("")).contains(word.lower())
+
+
+def total_value(samples: DataFrame, which: Column) -> DataFrame:
+    """Sum of the values of some series."""
+    return samples.agg(F.coalesce(F.sum(F.when(which, c("value"))), F.lit(0.0)).alias("total"))
 
 
-def top_series(samples: DataFrame, name_contains: Sequence[str], limit: int = 10) -> DataFrame:
-    hit = reduce(lambda a, b: a | b, [F.lower("name").contains(w.lower()) for w in name_contains])
-    return samples.where(hit).orderBy(F.desc(F.abs("value")), "series").limit(limit)
+def largest_samples(samples: DataFrame, which: Column, limit: int = 10) -> DataFrame:
+    """The samples of some series with the largest values in size."""
+    return samples.where(which).orderBy(F.desc(F.abs("value")), "series").limit(limit)
 
 
 # ---------------------------------------------------------------- roll-up
@@ -336,9 +384,9 @@ def component_summary(checks: DataFrame) -> DataFrame:
     return rolled.withColumn("label", label)
 
 
-def highlights(checks: DataFrame, limit: int = 6) -> DataFrame:
-    """The first critical summaries, or the first warnings when nothing is critical (check id order)."""
-    by = Window.partitionBy("status").orderBy("id")
+def highlights(checks: DataFrame, limit: int = 6, order: Sequence[str] = ("seq", "id")) -> DataFrame:
+    """The first critical summaries, or the first warnings when nothing is critical, in the order in which checks were made."""
+    by = Window.partitionBy("status").orderBy(*order)
     top = checks.where(c("status").isin("crit", "warn")).withColumn("rank", F.row_number().over(by)).where(c("rank") <= limit)
     one = top.agg(*[F.transform(F.array_sort(F.collect_list(F.when(c("status") == s, F.struct("rank", "summary")))), lambda x: x.summary).alias(s)
                     for s in ("crit", "warn")])

@@ -23,7 +23,7 @@ def rename_keys(df: DataFrame) -> DataFrame:
         moved[target] = F.coalesce(F.col(target), F.col(source))
         moved[source] = F.when(F.col(target).isNotNull(), F.col(source))
     for source, target in SOFTWARE_RENAMES.items():
-        moved[target] = F.col(source)
+        moved[target] = F.coalesce(F.col(target), F.col(source)) if target in df.columns else F.col(source)
     return df.withColumns(moved | {"timestamp": F.col("ts")}).drop(*SOFTWARE_RENAMES)
 
 

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewatch.session import stored
+
 c = F.col
 US = 1_000_000
 
@@ -140,33 +142,49 @@ def sliding_matches(events: DataFrame, rule: Rule, detail: Sequence[str] = ("ses
 
 # ---------------------------------------------------------------- realert suppression
 
+def _next_matches(nodes: DataFrame, group: list[str], wait: int) -> tuple[DataFrame, DataFrame]:
+    """(starts, next): times that are kept in any case, and per time ``us`` the first one at least ``wait`` later, ``then``.
+
+    Time is cut into buckets of ``wait``: the next time lies in the following bucket or is the first of a later one, so windows run
+    over one bucket's times, or over one row per bucket.
+    """
+    nodes = nodes.withColumn("bucket", F.floor(c("us") / F.lit(wait)).cast("bigint"))
+    order = Window.partitionBy(*group).orderBy("bucket")
+    edges = nodes.groupBy(*group, "bucket").agg(F.min("us").alias("low"), F.max("us").alias("high")).select(
+        *group, "bucket", "low", F.lag("high").over(order).alias("before"), F.lead("low").over(order).alias("later"))
+    starts = edges.where(c("before").isNull() | (c("low") - c("before") >= wait)).select(*group, c("low").alias("us"))
+    asked = nodes.select(*group, (c("bucket") + 1).alias("bucket"), (c("us") + wait).alias("at"), "us", F.lit(None).cast("bigint").alias("node"))
+    points = asked.unionByName(nodes.select(*group, "bucket", c("us").alias("at"), F.lit(None).cast("bigint").alias("us"), c("us").alias("node")))
+    ahead = Window.partitionBy(*group, "bucket").orderBy("at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    found = points.withColumn("inside", F.min("node").over(ahead)).where(c("us").isNotNull()).select(*group, "bucket", "us", "inside")
+    own = edges.select(*group, "bucket", c("later").alias("after"), F.lit(True).alias("there"))
+    previous = edges.select(*group, (c("bucket") + 1).alias("bucket"), c("later").alias("beyond"))
+    joined = found.join(own, [*group, "bucket"], "left").join(previous, [*group, "bucket"], "left")
+    then = F.coalesce("inside", F.when(c("there"), c("after")).otherwise(c("beyond")))
+    return starts, joined.select(*group, "us", then.alias("then")).where(c("then").isNotNull())
+
+
 def suppress_realerts(matches: DataFrame, key: Sequence[str], realert_seconds: int) -> DataFrame:
     """Keep a match only if the last kept one of its key is at least ``realert_seconds`` older.
 
-    A gap of that length always restarts the chain, so chains are cut there first: bucket
-    minima and maxima (bucket = realert time) find the gaps without sorting the matches.  Each
-    piece is then folded on its own, over its distinct times only.
+    From a kept time the chain goes on to the first time that much later.  A gap of that length restarts it in any case, so the chains
+    of a key start at all its gaps and are followed by doubling: after k rounds, each a join on (key, time), everything within
+    2^k steps of a start is found.  Without a key, times spread the work.  Rounds are stored, one Spark job each.
     """
     key, wait = list(key), realert_seconds * US
     group = key or ["_all"]
     rows = matches if key else matches.withColumn("_all", F.lit(1))
-    rows = rows.withColumn("bucket", F.floor(c("us") / F.lit(wait)).cast("bigint"))
-    edges = rows.groupBy(*group, "bucket").agg(F.min("us").alias("low"), F.max("us").alias("high"))
-    order = Window.partitionBy(*group).orderBy("bucket")
-    gap = F.coalesce(c("low") - F.lag("high").over(order) >= wait, F.lit(True))
-    pieces = edges.withColumn("new", gap.cast("int")).withColumn("piece", F.sum("new").over(order)).select(*group, "bucket", "piece")
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-
-    def fold(acc: Column, us: Column) -> Column:
-        take = acc.last.isNull() | (us - acc.last >= wait)
-        return F.when(take, F.struct(us.alias("last"), F.concat(acc.kept, F.array(us)).alias("kept"))).otherwise(acc)
-
-    kept = (
-        rows.select(*group, "bucket", "us").distinct().join(pieces, [*group, "bucket"])
-        .groupBy(*group, "piece").agg(F.aggregate(F.array_sort(F.collect_list("us")), start, fold, lambda acc: acc.kept).alias("kept"))
-        .select(*group, F.explode("kept").alias("us"))
-    )
-    return rows.join(kept, [*group, "us"], "left_semi").drop("bucket", "_all")
+    starts, step = _next_matches(rows.select(*group, "us").distinct(), group, wait)
+    kept, step = stored(starts, "kept"), stored(step, "steps")
+    while True:
+        reached = kept.join(step, [*group, "us"]).select(*group, c("then").alias("us")).join(kept, [*group, "us"], "left_anti").distinct()
+        reached = stored(reached, "reached")
+        if reached.isEmpty():
+            break
+        kept = stored(kept.unionByName(reached), "kept")
+        further = step.select(*group, c("us").alias("then"), c("then").alias("_then"))
+        step = stored(step.join(further, [*group, "then"]).select(*group, "us", c("_then").alias("then")), "steps")
+    return rows.join(kept, [*group, "us"], "left_semi").drop("_all")
 
 
 def run_rule(events: DataFrame, rule: Rule, detail: Sequence[str] = ("session_id",)) -> DataFrame:
@@ -195,15 +213,12 @@ def within_lookback(alerts: DataFrame, events: DataFrame, key: Sequence[str], be
     return a.join(e, [*key, "b"]).where(c("us").between(c("alert_us") - before * US, c("alert_us") + after * US)).drop("b")
 
 
-def related_events(alerts: DataFrame, events: DataFrame, rule: Rule, limit: int = 100) -> DataFrame:
-    """Session ids behind each alert, oldest first (``limit`` newest are carried, ``related_count`` counts all)."""
+def related_events(alerts: DataFrame, events: DataFrame, rule: Rule) -> DataFrame:
+    """The sessions behind each alert, all of them: one row per alert and session, ``place`` 1 for the oldest."""
     hits = within_lookback(alerts, events, rule.key, rule.span_seconds, 0)
     by = [*rule.key, "alert_us"]
-    order = Window.partitionBy(*by).orderBy(F.desc("us"), F.desc("session_id"))
-    total = hits.groupBy(*by).agg(F.count("*").alias("related_count"))
-    top = hits.select(*by, "us", "session_id").withColumn("rank", F.row_number().over(order)).where(c("rank") <= limit)
-    ids = top.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("us", "session_id"))).alias("l"))
-    return total.join(ids, by).select(*by, "related_count", F.transform("l", lambda x: x.session_id).alias("related"))
+    order = Window.partitionBy(*by).orderBy("us", "session_id")
+    return hits.select(*by, "us", "session_id").withColumn("place", F.row_number().over(order))
 
 
 def top_counts(alerts: DataFrame, events: DataFrame, rule: Rule, fields: dict[str, Column], limit: int = 10) -> DataFrame:
@@ -217,39 +232,38 @@ def top_counts(alerts: DataFrame, events: DataFrame, rule: Rule, fields: dict[st
     return counts.withColumn("rank", F.row_number().over(order)).where(c("rank") <= limit)
 
 
-def enrich_scans(alerts: DataFrame, sessions: DataFrame, before_seconds: int = 300, after_seconds: int = 180,
-                 interesting_limit: int = 100, sample_limit: int = 1000) -> DataFrame:
-    """Scan context of each alert: ports, states, protocols and the message text."""
+def enrich_scans(alerts: DataFrame, sessions: DataFrame, before_seconds: int = 300, after_seconds: int = 180, shown_ports: int = 100) -> DataFrame:
+    """Scan context of each alert: ports, states, protocols and the message text.
+
+    Ports are at most 65,536 and states and protocols a fixed set, so the lists are whole; only the message names at most ``shown_ports``.
+    """
     by = ["src_ip", "dst_ip", "alert_us"]
     tcp = sessions.where(c("transport") == "tcp").select(
         "src_ip", "dst_ip", "ts", c("dst_port").alias("port"), c("conn.state").alias("state"), "protocol")
     hits = within_lookback(alerts, tcp, ["src_ip", "dst_ip"], before_seconds, after_seconds)
     cells = hits.groupBy(*by, "port", "state", "protocol").agg(F.count("*").alias("n"))
     open_ = ~F.coalesce(c("state") == "REJ", F.lit(False))
-    pairs = lambda name: F.struct(c(name).alias("value"), c("n"))
     ports = cells.where(c("port").isNotNull()).groupBy(*by, "port").agg(F.max(open_).alias("open"))
     ports = ports.groupBy(*by).agg(
         F.count("*").alias("unique_ports"), F.array_sort(F.collect_list("port")).alias("ports"),
         F.array_sort(F.collect_list(F.when(c("open"), c("port")))).alias("open_ports"))
-    order = [F.desc("n"), F.asc("value")]
 
     def summary(rows: DataFrame, name: str, out: str) -> DataFrame:
         counts = rows.where(c(name).isNotNull()).groupBy(*by, c(name).alias("value")).agg(F.sum("n").alias("n"))
-        cut = counts.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(c("rank") <= 20)
-        return cut.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias(out))
+        return counts.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias(out))
 
     joined = (
         ports.join(summary(cells, "state", "states"), by, "left").join(summary(cells.where(open_), "protocol", "protocols"), by, "left")
     )
     rejected = F.coalesce(F.try_element_at(c("states"), F.lit("REJ")), F.lit(0))
-    interesting = F.slice("open_ports", 1, interesting_limit)
-    listed = F.when(F.size(interesting) > 0, F.array_join(interesting.cast("array<string>"), ", ")).otherwise("none observed")
+    shown = F.slice("open_ports", 1, shown_ports).cast("array<string>")
+    listed = F.when(F.size(shown) > 0, F.array_join(shown, ", ")).otherwise("none observed")
     message = F.format_string(
         "Possible Nmap port scan detected: %s scanned %d unique TCP destination ports on %s within the detection window. "
         "Most ports were rejected/closed (REJ=%d). Interesting/open ports observed: %s.",
         "src_ip", "unique_ports", "dst_ip", rejected, listed)
     return joined.select(
-        *by, "unique_ports", interesting.alias("interesting_ports"), "states", "protocols", F.slice("ports", 1, sample_limit).alias("ports_sample"),
+        *by, "unique_ports", c("open_ports").alias("interesting_ports"), "states", "protocols", "ports",
         F.timestamp_micros(c("alert_us") - before_seconds * US).alias("window_from"),
         F.timestamp_micros(c("alert_us") + after_seconds * US).alias("window_to"), message.alias("message"))
 

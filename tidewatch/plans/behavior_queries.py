@@ -192,10 +192,11 @@ def vector(spark, d):
                                            F.size("ml.feature_vector").alias("length"), F.get("ml.feature_vector", F.lit(0)).alias("first_value"), c("ml.ready").alias("ready"))
 
 
-@query("b19_behavior_document", O.behaviors("""SELECT DISTINCT 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id,
-    window_us, window_us + 900000000 AS window_end_us FROM rows_all"""))
+@query("b19_behavior_document", O.behaviors("""SELECT 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id,
+    window_us, window_us + 900000000 AS window_end_us, arg_min('local_asset.ip' || CASE WHEN sensor_key <> '' THEN '+sensor.name' ELSE '' END || ':' || asset_side, (first_us, session_id)) AS entity_type
+    FROM rows_all GROUP BY entity, sensor_key, window_us"""))
 def document(spark, d):
-    return behavior_table(spark, d).select("behavior_id", us("window_start").alias("window_us"), us("window_end").alias("window_end_us"))
+    return behavior_table(spark, d).select("behavior_id", us("window_start").alias("window_us"), us("window_end").alias("window_end_us"), "entity_type")
 
 
 @query("j06_affected_windows", O.behaviors(f"SELECT count(*) AS n, min(ts_us) AS first_us FROM rows_all WHERE ({O.BY_WIN}) IN (SELECT {O.BY_WIN} FROM rows_all WHERE list_contains(log_types, 'notice'))"))

@@ -157,22 +157,22 @@ def error_check(spark, d):
 
 @query("h14_series_sum", f"WITH raw AS ({O.RAW}), {_SERIES} SELECT CAST(sum(value) AS DOUBLE) AS total FROM samples WHERE name = 'events_sent_total'")
 def series_sum(spark, d):
-    return H.sum_matching(H.parse_metrics(_metric_lines(spark, d)), ["sent"])
+    return H.total_value(H.parse_metrics(_metric_lines(spark, d)), H.name_has("sent"))
 
 
 @query("h14_top_series", f"WITH raw AS ({O.RAW}), {_SERIES} SELECT series, value FROM samples WHERE name = 'events_sent_total' ORDER BY value DESC LIMIT 10")
 def top_series(spark, d):
-    return H.top_series(H.parse_metrics(_metric_lines(spark, d)), ["sent"]).select("series", "value")
+    return H.largest_samples(H.parse_metrics(_metric_lines(spark, d)), H.name_has("sent")).select("series", "value")
 
 
 def _check_rows(spark, d):
     """A check row per raw row: component = log type, status by k."""
     k = F.get_json_object("doc", "$.k").cast("int")
     status = F.when(k < 1, "crit").when(k < 3, "warn").when(k < 4, "unknown").otherwise("ok")
-    return raw_table(spark, d).select(c("raw_id").alias("id"), c("log_type").alias("component"), status.alias("status"), c("raw_id").alias("summary"))
+    return raw_table(spark, d).select(c("raw_id").alias("id"), c("log_type").alias("component"), status.alias("status"), c("raw_id").alias("summary"), F.unix_micros("ts").alias("seq"))
 
 
-_CHECKS = "checks AS MATERIALIZED (SELECT raw_id AS id, log_type AS component, CASE WHEN k < 1 THEN 'crit' WHEN k < 3 THEN 'warn' WHEN k < 4 THEN 'unknown' ELSE 'ok' END AS status FROM raw)"
+_CHECKS = "checks AS MATERIALIZED (SELECT raw_id AS id, us AS seq, log_type AS component, CASE WHEN k < 1 THEN 'crit' WHEN k < 3 THEN 'warn' WHEN k < 4 THEN 'unknown' ELSE 'ok' END AS status FROM raw)"
 _ROLL = """SELECT component, count(*) AS total, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'warn') AS warn, count(*) FILTER (WHERE status = 'crit') AS crit, count(*) FILTER (WHERE status = 'unknown') AS unknown,
     CAST(greatest(0, 100 - 18 * count(*) FILTER (WHERE status = 'crit') - 7 * count(*) FILTER (WHERE status = 'warn') - 3 * count(*) FILTER (WHERE status = 'unknown')) AS INT) AS score,
     CASE WHEN bool_or(status = 'crit') THEN 'crit' WHEN bool_or(status = 'warn') THEN 'warn' WHEN bool_or(status = 'unknown') THEN 'unknown' ELSE 'ok' END AS status FROM checks GROUP BY ROLLUP (component)"""
@@ -188,7 +188,7 @@ def roll_up(spark, d):
     return H.component_summary(_check_rows(spark, d)).drop("label")
 
 
-@query("h17_highlights", f"WITH raw AS ({O.RAW}), {_CHECKS} SELECT string_agg(id, '|' ORDER BY id) AS highlights FROM (SELECT id FROM checks WHERE status = 'crit' ORDER BY id LIMIT 6) t")
+@query("h17_highlights", f"WITH raw AS ({O.RAW}), {_CHECKS} SELECT string_agg(id, '|' ORDER BY seq, id) AS highlights FROM (SELECT id, seq FROM checks WHERE status = 'crit' ORDER BY seq, id LIMIT 6) t")
 def highlights(spark, d):
     return H.highlights(_check_rows(spark, d)).select(F.array_join("highlights", "|").alias("highlights"))
 

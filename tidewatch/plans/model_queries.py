@@ -115,7 +115,7 @@ def cold_start(spark, d):
     return K.with_status(behavior_table(spark, d), "not_enough_training_data").groupBy(c("ml.scoring_status").alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("f12_unscored_selection", _sql("SELECT behavior_id FROM w WHERE used >= 2 ORDER BY window_us, behavior_id LIMIT 100"))
+@query("f12_unscored_selection", _sql("SELECT behavior_id FROM w WHERE used >= 2"))
 def unscored(spark, d):
     return K.unscored(behavior_table(spark, d)).select("behavior_id")
 

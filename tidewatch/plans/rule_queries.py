@@ -111,12 +111,12 @@ def query_delay(spark, d):
     return R.settled(_events(spark, d, R.VERTICAL_SCAN), now, R.VERTICAL_SCAN).agg(F.count("*").alias("n"))
 
 
-@query("r08_related_events", _rule_sql(_R03, f"""SELECT k.src_ip, k.dst_ip, k.us AS alert_us, count(*) AS related_count, min(session_id) AS first_id FROM kept k JOIN (SELECT * FROM hard WHERE {_SSH}) s
-    ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us GROUP BY ALL""", _greedy("src_ip, dst_ip", 600000000)))
+@query("r08_related_events", _rule_sql(_R03, f"""SELECT k.src_ip, k.dst_ip, k.us AS alert_us, session_id, CAST(row_number() OVER (PARTITION BY k.src_ip, k.dst_ip, k.us ORDER BY s.ts_us, session_id) AS INT) AS place FROM kept k JOIN (SELECT * FROM hard WHERE {_SSH}) s
+    ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us""", _greedy("src_ip, dst_ip", 600000000)))
 def related(spark, d):
     events = _events(spark, d, R.SSH_BRUTE_FORCE)
     rows = R.related_events(R.run_rule(events, R.SSH_BRUTE_FORCE), events, R.SSH_BRUTE_FORCE)
-    return rows.select("src_ip", "dst_ip", "alert_us", "related_count", F.array_min("related").alias("first_id"))
+    return rows.select("src_ip", "dst_ip", "alert_us", "session_id", "place")
 
 
 @query("r09_latest_per_key", O.raw("SELECT src, dst, max(us) AS us, arg_max(raw_id, us) AS raw_id FROM raw WHERE log_type = 'notice' GROUP BY src, dst"))
@@ -125,8 +125,8 @@ def latest(spark, d):
     return R.latest_per_key(rows, ["src", "dst"], "ts").select("src", "dst", F.unix_micros("ts").alias("us"), "raw_id")
 
 
-_ENRICH = """SELECT k.src_ip, k.dst_ip, k.us AS alert_us, count(DISTINCT dst_port) AS unique_ports, array_to_string(list_slice(list_sort(list(DISTINCT dst_port) FILTER (WHERE state IS DISTINCT FROM 'REJ')), 1, 100), '|') AS interesting,
-    array_to_string(list_slice(list_sort(list(DISTINCT dst_port)), 1, 1000), '|') AS sample, count(*) FILTER (WHERE state = 'REJ') AS rejected, count(*) FILTER (WHERE state IS DISTINCT FROM 'REJ' AND protocol = 'ssh') AS open_ssh
+_ENRICH = """SELECT k.src_ip, k.dst_ip, k.us AS alert_us, count(DISTINCT dst_port) AS unique_ports, array_to_string(list_sort(list(DISTINCT dst_port) FILTER (WHERE state IS DISTINCT FROM 'REJ')), '|') AS interesting,
+    array_to_string(list_sort(list(DISTINCT dst_port)), '|') AS sample, count(*) FILTER (WHERE state = 'REJ') AS rejected, count(*) FILTER (WHERE state IS DISTINCT FROM 'REJ' AND protocol = 'ssh') AS open_ssh
     FROM kept k JOIN (SELECT * FROM hard WHERE transport = 'tcp') s ON s.src_ip = k.src_ip AND s.dst_ip = k.dst_ip AND s.ts_us BETWEEN k.us - 300000000 AND k.us + 180000000 GROUP BY ALL"""
 
 
@@ -135,5 +135,5 @@ def enrichment(spark, d):
     s = session_table(spark, d)
     rows = R.enrich_scans(R.run_rule(R.scan_sessions(s), R.VERTICAL_SCAN), s)
     zero = lambda m, k: F.coalesce(F.try_element_at(c(m), F.lit(k)), F.lit(0))
-    return rows.select("src_ip", "dst_ip", "alert_us", "unique_ports", joined(c("interesting_ports")).alias("interesting"), joined(c("ports_sample")).alias("sample"),
+    return rows.select("src_ip", "dst_ip", "alert_us", "unique_ports", joined(c("interesting_ports")).alias("interesting"), joined(c("ports")).alias("sample"),
                        zero("states", "REJ").alias("rejected"), zero("protocols", "ssh").alias("open_ssh"))

@@ -67,10 +67,9 @@ def progress(spark, d):
 def score_new_only(spark, d):
     from tidewatch.operators.forest import unscored
     from tidewatch.plans.views import behavior_table
-    from tidewatch.settings import Settings
     done = c("quality.session_count_used") % 2 == 0
     b = behavior_table(spark, d).withColumn("ml", c("ml").withField("scoring_status", F.when(done, "scored").otherwise("not_scored")))
-    return unscored(b, Settings(scoring_page=1000000)).agg(F.count("*").alias("n"))
+    return unscored(b).agg(F.count("*").alias("n"))
 
 
 @query("s16_job_checkpoint", O.hardened("SELECT 'sessions' AS job, max(last_us) - 1800000000 AS start_us, max(last_us) + 60000000 AS end_us FROM hard"))

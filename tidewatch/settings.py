@@ -30,10 +30,8 @@ class Settings:
     seed: int = 42
     contamination: float = 0.05
     min_training_rows: int = 20
-    training_max_rows: int = 2000
     training_min_quality: int = 80
     retrain_seconds: int = 21600
-    scoring_page: int = 100
     excluded_feedback: tuple[str, ...] = ("false_positive", "benign_expected")
     # health
     max_missing_percent: float = 5.0
