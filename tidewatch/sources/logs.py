@@ -30,13 +30,18 @@ def read_lines(spark: SparkSession, directory: str, streaming: bool = False) ->
 
 
 def parse_json(lines: DataFrame) -> DataFrame:
-    """Attach the parsed document; a bad line keeps its text, a stage and a reason."""
-    doc = F.try_parse_json("value")
-    ok = F.schema_of_variant(doc).startswith("OBJECT")
-    bad = ~F.coalesce(ok, F.lit(False))
-    return lines.select(
-        "*", F.when(~bad, doc).alias("v"), bad.alias("parse_error"),
-        F.when(bad, F.lit("zeek_parse_json")).alias("parse_error_stage"),
+    """Attach the parsed document; a bad line keeps its text, a stage and a reason.
+
+    A generator of one row parses each line once: neither later filters nor later columns repeat what is below it.
+    """
+    def judged(doc: Column) -> Column:
+        ok = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+        return F.struct(F.when(ok, doc).alias("v"), (~ok).alias("parse_error"))
+
+    rows = lines.select("*", F.inline(F.transform(F.array(F.try_parse_json("value")), judged)))
+    bad = F.col("parse_error")
+    return rows.select(
+        "*", F.when(bad, F.lit("zeek_parse_json")).alias("parse_error_stage"),
         F.when(bad, F.when(F.trim("value") == "", "empty line").otherwise("not a JSON object")).alias("parse_error_reason"),
         F.when(bad, F.col("value")).alias("raw_message"),
     )
