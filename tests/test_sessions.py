@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.hardening import harden_sessions
 from tidewatch.operators.merge import merge_sessions
-from tidewatch.operators.sessions import build_sessions, to_documents
+from tidewatch.operators.sessions import build_sessions, evidence_rows, to_documents
 from tidewatch.schemas import raw_schema
 from tidewatch.sources.tables import SessionTable
 
@@ -77,6 +77,20 @@ def test_event_order_does_not_matter(spark, order):
     assert s.first_seen < s.last_seen and s.log_types == ["conn", "notice", "ssl"] and s.tls.server_name == "example.com"
 
 
+def test_nothing_of_a_large_session_is_cut(spark):
+    certs = [event("x509", f"x{i}", 3 + i, uid=None, fingerprint=f"F{i}", cert_subject=f"CN={i}", basic_constraints_ca=(i == 24)) for i in range(25)]
+    hello = event("ssl", "r2", 1, cert_chain_fps=[f"F{i}" for i in range(25)])
+    many = [event("conn", f"c{i:03d}", i, ndr_noise=(i == 149), ndr_noise_type="late_noise") for i in range(150)]
+    rows = raw(spark, hello, *certs, *many, many[0])
+    s = only(harden_sessions(build_sessions(rows, parts=("certificates", "facts"))))
+    assert (s.event_count, s.evidence_count, s.normalized_event_count, s.events_truncated) == (177, 176, 176, False)
+    assert len(s.x509.subjects) == 25 and s.x509.is_ca and s.evidence is None and "late_noise" in s.noise_tags
+    whole = only(harden_sessions(build_sessions(rows)))
+    assert (len(whole.evidence), len(whole.zeek["conn"]), whole.evidence_count) == (176, 150, 176)
+    long = evidence_rows(rows).collect()
+    assert len(long) == 176 and {r.log_type for r in long} == {"conn", "ssl", "x509"}
+
+
 def test_late_event_is_merged(spark):
     old = harden_sessions(build_sessions(raw(spark, CONN)))
     m = only(merge_sessions(old, build_sessions(raw(spark, SSL))))

@@ -32,11 +32,10 @@ def harden_protocol(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 def harden_direction(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Sensor flags of the first kept conn event, else address locality.  Topology overrides this."""
-    conn = F.get(F.try_element_at(c("zeek"), F.lit("conn")), F.lit(0))
     df = with_parsed_ips(df, s=c("src_ip"), d=c("dst_ip"))
     df = df.withColumns({
-        "_sl": F.coalesce(conn.local_orig, local_test(parsed("s", c("src_ip")), settings.internal_networks)),
-        "_dl": F.coalesce(conn.local_resp, local_test(parsed("d", c("dst_ip")), settings.internal_networks)),
+        "_sl": F.coalesce(c("conn_local_orig"), local_test(parsed("s", c("src_ip")), settings.internal_networks)),
+        "_dl": F.coalesce(c("conn_local_resp"), local_test(parsed("d", c("dst_ip")), settings.internal_networks)),
     })
     df = df.withColumns({
         "src_local": F.coalesce("_sl", "src_local"), "dst_local": F.coalesce("_dl", "dst_local"),
@@ -78,30 +77,21 @@ def classify_topology(df: DataFrame, subnets: Subnets) -> DataFrame:
 
 
 def harden_counts(df: DataFrame) -> DataFrame:
-    df = df.withColumns({"evidence_count": F.coalesce(F.size("evidence"), F.lit(0)), "normalized_event_count": count_kept_events(c("zeek"))})
+    """Counts over all events; those of arrays where a merge has put them together anew."""
+    kept = count_kept_events(c("zeek"))
+    df = df.withColumns({
+        "evidence_count": F.coalesce(F.nullif(F.size("evidence"), F.lit(-1)), c("evidence_count"), F.lit(0)),
+        "normalized_event_count": F.when(kept > 0, kept).otherwise(F.coalesce("normalized_event_count", F.lit(0))),
+    })
     return df.withColumns({"raw_event_count": c("evidence_count"), "events_truncated": c("evidence_count") > c("normalized_event_count")})
 
 
 def harden_x509(df: DataFrame) -> DataFrame:
-    """Certificate lists over the kept x509 events; a session without any is left alone."""
+    """Whether any certificate of the session is an authority's; the lists over all its certificates are there already."""
     if "x509" not in df.columns:
         return df
-    events = F.try_element_at(c("zeek"), F.lit("x509"))
-
-    def gather(field: str) -> Column:
-        return unique_values(F.transform(events, lambda e: e.cert[field]))
-
-    lists = {
-        "fingerprints": gather("fingerprint"), "subjects": gather("subject"), "issuers": gather("issuer"),
-        "san_dns": unique_values(F.flatten(F.transform(events, lambda e: F.coalesce(e.cert.san_dns, _texts())))),
-        "not_valid_before_all": gather("not_valid_before"), "not_valid_after_all": gather("not_valid_after"),
-        "key_types": gather("key_type"), "key_lengths": gather("key_length"), "signature_algorithms": gather("sig_alg"),
-        "is_ca": F.exists(events, lambda e: F.coalesce(e.cert.ca, F.lit(False))),
-    }
-    x = c("x509")
-    for name, value in lists.items():
-        x = x.withField(name, value)
-    return df.withColumn("x509", F.when(F.size(events) > 0, x).otherwise(c("x509")))
+    ca = F.coalesce(F.array_contains("x509.ca_flags", True), F.lit(False))
+    return df.withColumn("x509", F.when(c("x509").isNotNull(), c("x509").withField("is_ca", ca)))
 
 
 def harden_files(df: DataFrame) -> DataFrame:
@@ -118,25 +108,13 @@ def harden_files(df: DataFrame) -> DataFrame:
     return df.withColumn("files", F.when(c("files").isNotNull(), x))
 
 
-def _kept(zeek: Column) -> Column:
-    """All kept raw events, log types in name order."""
-    groups = F.array_sort(F.transform(F.map_entries(zeek), lambda e: F.struct(e.key.alias("k"), e.value.alias("v"))),
-                          lambda a, b: F.when(a.k < b.k, -1).when(a.k > b.k, 1).otherwise(0))
-    return F.flatten(F.transform(groups, lambda g: g.v))
-
-
 def roll_up_noise(df: DataFrame) -> DataFrame:
-    noisy = F.filter(_kept(c("zeek")), lambda e: F.coalesce(e.noise, F.lit(False)))
-    tags = F.flatten(F.transform(noisy, lambda e: F.array(
-        F.coalesce(blank_to_null(e.noise_type), F.lit("vector_noise")),
-        F.coalesce(blank_to_null(e.noise_reason), blank_to_null(e.noise_type), F.lit("vector_noise")))))
-    df = df.withColumn("_tags", tags)
-    found = F.size("_tags") > 0
+    found = F.coalesce(F.size("noise_tags"), F.lit(0)) > 0
     return df.withColumns({
         "category": F.when(found, "noise").otherwise(c("category")),
         "excluded_from_behavior": F.when(found, True).otherwise(c("excluded_from_behavior")),
-        "noise_reasons": F.when(found, unique_values(F.concat(F.coalesce("noise_reasons", _texts()), "_tags"))).otherwise(c("noise_reasons")),
-    }).drop("_tags")
+        "noise_reasons": F.when(found, unique_values(F.concat(F.coalesce("noise_reasons", _texts()), "noise_tags"))).otherwise(c("noise_reasons")),
+    })
 
 
 def key_type_and_flow(df: DataFrame) -> DataFrame:
@@ -146,7 +124,7 @@ def key_type_and_flow(df: DataFrame) -> DataFrame:
         F.when(sid.startswith("synthetic:"), "synthetic").when(filled(c("uid")), "uid")
         .when(filled(c("community_id")), "community_id").otherwise("unknown")
     )
-    fragment = F.exists(_kept(c("zeek")), lambda e: filled(e.message) & ~filled(e.uid) & ~filled(e.orig_h) & ~filled(e.resp_h))
+    fragment = c("fragment")
     df = df.withColumns({
         "key_type": key_type,
         "flow_based": filled(c("src_ip")) & filled(c("dst_ip")) & c("src_port").isNotNull() & c("dst_port").isNotNull() & filled(c("uid")),

@@ -43,7 +43,7 @@ def session_report(sessions: DataFrame) -> DataFrame:
     per_id = sessions.groupBy("session_id").agg(F.count("*").alias("n"))
     one = sessions.agg(
         F.count("*").alias("session_count"), F.count_if(blank(c("protocol"))).alias("missing_network_protocol"),
-        F.count_if(F.coalesce(F.size("evidence"), F.lit(0)) <= 0).alias("missing_evidence"),
+        F.count_if(F.coalesce("evidence_count", F.lit(0)) <= 0).alias("missing_evidence"),
         F.count_if(flow & blank(c("src_ip"))).alias("missing_source_ip"), F.count_if(flow & blank(c("dst_ip"))).alias("missing_destination_ip"),
         F.count_if(c("excluded_from_behavior")).alias("control_plane_tagged"), F.count_if(~flow).alias("non_flow_sessions"),
         F.count_if(c("category") == "malformed_raw").alias("malformed_raw_sessions"), F.count_if(c("events_truncated")).alias("events_truncated"),

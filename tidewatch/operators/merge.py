@@ -21,11 +21,11 @@ def merge_values(kind: T.DataType, old: Column, new: Column) -> Column:
     return F.coalesce(new, old)
 
 
-def first_per_id(items: Column, key: str, limit: int) -> Column:
-    """Keep the first element per id (blank ids are all kept), at most ``limit``.  Input arrays are capped."""
+def first_per_id(items: Column, key: str, limit: int | None) -> Column:
+    """Keep the first element per id (blank ids are all kept), at most ``limit`` if there is one."""
     ids = F.transform(items, lambda x: x[key])
     kept = F.filter(items, lambda x, i: F.coalesce(x[key], F.lit("")).eqNullSafe("") | (F.array_position(ids, x[key]) == i + 1))
-    return F.slice(kept, 1, limit)
+    return kept if limit is None else F.slice(kept, 1, limit)
 
 
 def count_kept_events(zeek: Column) -> Column:
@@ -57,8 +57,12 @@ def merge_sessions(stored: DataFrame, built: DataFrame, settings: Settings = DEF
                                              settings.max_events_per_log_type))
         elif n == "evidence":
             value = first_per_id(joined(n), "id", settings.max_evidence_items)
-        elif n == "ts":
+        elif n in ("ts", "conn_local_orig", "conn_local_resp"):
             value = F.coalesce(o, w)
+        elif n == "fragment":
+            value = F.coalesce(o | w, o, w)
+        elif n in ("event_count", "evidence_count", "normalized_event_count"):  # of batches without common events; arrays are counted anew
+            value = F.when(both, F.coalesce(o, F.lit(0)) + F.coalesce(w, F.lit(0))).otherwise(F.coalesce(o, w))
         elif n == "log_types":
             value = F.array_sort(F.array_distinct(joined(n)))
         elif n == "first_seen":
@@ -71,8 +75,8 @@ def merge_sessions(stored: DataFrame, built: DataFrame, settings: Settings = DEF
     state = F.when(both, "updated").when(F.col("_new"), "created").otherwise("kept")
     merged = pair.select("session_id", state.alias("merge_state"), *[v.alias(k) for k, v in cols.items()])
     kept = count_kept_events(F.col("zeek"))
-    recount = F.when(kept > 0, kept).otherwise(F.coalesce(F.size("evidence"), F.lit(0))).cast("bigint")
-    updated = F.col("merge_state") == "updated"
+    recount = F.when(kept > 0, kept).otherwise(F.size("evidence")).cast("bigint")
+    updated = (F.col("merge_state") == "updated") & (recount >= 0)
     merged = merged.withColumns(
         {"event_count": F.when(updated, recount).otherwise(F.col("event_count"))} | flag_columns(F.col("log_types")))
     return merged.select(*built.columns, "merge_state")

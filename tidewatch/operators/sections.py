@@ -94,7 +94,11 @@ SECTIONS: dict[str, Section] = {
         ("x509",),
         _same_text("subject issuer serial key_type key_alg sig_alg")
         | _same("not_valid_before not_valid_after key_length") | {"basic_constraints_ca": _value("basic_constraints_ca")},
-        {"san_dns": _many("san_dns")}),
+        {"san_dns": _many("san_dns"), "fingerprints": _one("fingerprint"), "subjects": _one("cert_subject"), "issuers": _one("cert_issuer"),
+         "not_valid_before_all": _one("cert_not_valid_before"), "not_valid_after_all": _one("cert_not_valid_after"),
+         "key_types": _one("cert_key_type"), "key_lengths": _one("cert_key_length"), "signature_algorithms": _one("cert_sig_alg"),
+         "ca_flags": _one("basic_constraints_ca")},
+        {"not_valid_before_all": "array<double>", "not_valid_after_all": "array<double>", "key_lengths": "array<bigint>", "ca_flags": "array<boolean>"}),
     "notice": Section(("notice",), {}, {
         "notes": _one("note"), "messages": _one("msg"), "actions": _many("actions"), "subs": _one("sub"),
         "suppress_for": _one("suppress_for")}, {"suppress_for": "array<double>"}),

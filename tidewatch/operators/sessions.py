@@ -1,10 +1,9 @@
 """Raw logs to session rows.
 
 One connection's events share a key (uid, else community id, else a synthetic digest).
-All state kept per key before a shuffle is bounded: scalars are ``min_by`` partial
-aggregates, lists are made distinct before they are gathered, and evidence and raw events
-are cut by ranked windows whose limit Spark also applies on the map side.  A key that
-holds a third of all rows therefore never reaches a single task whole.
+Scalars, counts and noise are partial aggregates over all events, and list values are made distinct before they are
+gathered, so a key that holds a third of all rows never reaches a single task whole.  Nothing that is computed depends on
+the arrays of evidence and raw events, which are for display only and may be limited by ``Settings``.
 
 Certificates are summarised once per fingerprint and the summary joins each session, so a
 certificate seen by many sessions costs one row per session instead of one per pair.
@@ -95,22 +94,38 @@ def certificate_table(raw: DataFrame, settings: Settings = DEFAULTS, samples: bo
         order = Window.partitionBy("fingerprint").orderBy("us", "raw_id")
         ranked = (
             x509.select("fingerprint", "us", "raw_id", evidence_ref().alias("ref"), kept_event(settings.keep_raw_documents).alias("event"))
-            .withColumn("rank", F.row_number().over(order)).where(c("rank") <= settings.max_evidence_items)
+            .withColumn("rank", F.row_number().over(order)).where(within(c("rank"), settings.max_evidence_items))
         )
         summary = summary.join(ranked.groupBy("fingerprint").agg(
             F.collect_list(F.struct("us", c("raw_id").alias("id"), "ref")).alias("refs"),
-            F.collect_list(F.when(c("rank") <= settings.max_events_per_log_type, F.struct("us", c("raw_id").alias("id"), "event"))).alias("events"),
+            F.collect_list(F.when(within(c("rank"), settings.max_events_per_log_type), F.struct("us", c("raw_id").alias("id"), "event"))).alias("events"),
         ), "fingerprint")
     if names:
-        values = (
-            x509.select("fingerprint", F.explode(list_items(["x509"], c("us"), c("raw_id"))).alias("i"))
-            .groupBy("fingerprint", "i.field", "i.value").agg(F.min(F.struct("i.us", "i.id", "i.pos")).alias("o"))
-        )
+        listed = x509.select("fingerprint", F.explode(list_items(["x509"], c("us"), c("raw_id"))).alias("i")).select("fingerprint", "i.*")
+        values = listed.unionByName(noise_items(x509, "fingerprint")).groupBy("fingerprint", "field", "value").agg(F.min(F.struct("us", "id", "pos")).alias("o"))
         summary = summary.join(values.groupBy("fingerprint").agg(
             F.collect_list(F.struct("field", "o.us", "o.id", "o.pos", "value")).alias("items")), "fingerprint", "left")
     return summary
 
 
+def noise_items(rows: DataFrame, *keep: str) -> DataFrame:
+    """(keep.., field ``noise``, us, id, pos, value) of the rows that were marked as noise: what kind, and why."""
+    kind, why = blank_to_null(c("ndr_noise_type")), blank_to_null(c("ndr_noise_reason"))
+    tags = F.array(F.coalesce(kind, F.lit("vector_noise")), F.coalesce(why, kind, F.lit("vector_noise")))
+    marked = rows.where(F.coalesce("ndr_noise", F.lit(False))).select(*keep, _us().alias("us"), c("raw_id").alias("id"), F.posexplode(tags).alias("pos", "value"))
+    return marked.select(*keep, F.lit("noise").alias("field"), "us", "id", "pos", "value")
+
+
+def evidence_rows(raw: DataFrame, certificates: bool = True) -> DataFrame:
+    """Every event behind every session, uncut: (key, log_type, us, raw_id, ref), once each, certificates included."""
+    keyed = with_session_key(raw).select("key", "log_type", _us().alias("us"), "raw_id", evidence_ref().alias("ref"))
+    if certificates:
+        x509 = raw.where((safe_log_type(c("log_type")) == "x509") & (c("fingerprint") != "")).withColumn("log_type", F.lit("x509"))
+        x509 = x509.select("fingerprint", "log_type", _us().alias("us"), "raw_id", evidence_ref().alias("ref")).dropDuplicates(["fingerprint", "raw_id"])
+        keyed = keyed.unionByName(attach_certificates(with_session_key(raw), x509).drop("fingerprint"))
+    return keyed.dropDuplicates(["key", "log_type", "raw_id"])
+
+
 def attach_certificates(keyed: DataFrame, certificates: DataFrame) -> DataFrame:
     """(key, certificate summary) for every distinct fingerprint a session's handshakes presented."""
     shown = (
@@ -136,9 +151,17 @@ def _certificate_partials(attached: DataFrame, types: dict[str, str]) -> DataFra
     return attached.select(*[(have[w] if w in have else null_of(t)).cast(t).alias(w) for w, t in types.items()])
 
 
-def _ranked(rows: DataFrame, by: Sequence[str], limit: int) -> DataFrame:
+def _ranked(rows: DataFrame, by: Sequence[str], limit: int | None) -> DataFrame:
     order = Window.partitionBy(*by).orderBy("us", "raw_id")
-    return rows.withColumn("rank", F.row_number().over(order)).where(c("rank") <= limit)
+    return rows.withColumn("rank", F.row_number().over(order)).where(within(c("rank"), limit))
+
+
+def within(rank: Column, limit: int | None) -> Column:
+    return F.lit(True) if limit is None else rank <= limit
+
+
+def first_items(items: Column, limit: int | None) -> Column:
+    return items if limit is None else F.slice(items, 1, limit)
 
 
 def _list_field(section: str, name: str) -> Column:
@@ -160,13 +183,15 @@ def _list_field(section: str, name: str) -> Column:
 
 
 def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequence[str] | None = None,
-                   parts: Sequence[str] = ("certificates", "evidence", "events"),
+                   parts: Sequence[str] = ("certificates", "facts", "evidence", "events"),
                    certificates: DataFrame | None = None, updated_at: Column | None = None,
                    with_key: bool = False) -> DataFrame:
     """Session rows from raw logs.
 
     ``sections`` and ``parts`` restrict the work to what a caller reads; the omitted columns
-    are typed nulls.  ``certificates`` replaces the certificate table of this read window,
+    are typed nulls.  ``facts`` are what hardening needs of all events: their number, noise, fragments.  The parts ``evidence``
+    and ``events`` are arrays for documents and for merging late data; :func:`evidence_rows` has the same as a long table.
+    ``certificates`` replaces the certificate table of this read window,
     e.g. by a stored one that also knows certificates logged earlier.
     """
     names = list(SECTIONS) if sections is None else list(sections)
@@ -174,7 +199,7 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
     partials, attached = _own_partials(keyed), None
     if "certificates" in parts:
         if certificates is None:
-            certificates = certificate_table(raw, settings, bool({"evidence", "events"} & set(parts)), "x509" in names)
+            certificates = certificate_table(raw, settings, bool({"evidence", "events"} & set(parts)), "x509" in names or "facts" in parts)
         attached = attach_certificates(keyed, certificates)
         partials = partials.unionByName(_certificate_partials(attached, dict(partials.dtypes)))
 
@@ -187,6 +212,7 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
         F.min_by(F.struct(*_BACKBONE), F.when(c("log_type") == "conn", c("ord"))).alias("conn_backbone"),
         F.min_by(F.struct(*_BACKBONE), "ord").alias("any_backbone"),
         *[F.min_by(f, F.when(present(f), c("ord"))).alias(f"first_{f}") for f in _FIRST],
+        F.bool_or(present("message") & ~present("uid") & ~present("orig_h") & ~present("resp_h")).alias("fragment"),
     ]
     for name in names:
         spec = SECTIONS[name]
@@ -201,9 +227,12 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
     core = partials.groupBy("key").agg(*aggs)
 
     items = list_items(names, _us(), c("raw_id"))
-    if items is not None:
-        exploded = keyed.select("key", F.explode(items).alias("i")).select("key", "i.*")
-        if attached is not None and "x509" in names:
+    if items is not None or "facts" in parts:
+        exploded = noise_items(keyed, "key") if "facts" in parts else None
+        if items is not None:
+            listed = keyed.select("key", F.explode(items).alias("i")).select("key", "i.*")
+            exploded = listed if exploded is None else exploded.unionByName(listed)
+        if attached is not None and ("x509" in names or "facts" in parts):
             exploded = exploded.unionByName(attached.select("key", F.explode("items").alias("i")).select("key", "i.*"))
         entries = (
             exploded.groupBy("key", "field", "value").agg(F.min(F.struct("us", "id", "pos")).alias("o"))
@@ -211,6 +240,11 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
         )
         core = core.join(entries, "key", "left")
 
+    if "facts" in parts:
+        ids = keyed.select("key", "raw_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("own_ids"))
+        core = core.join(ids, "key")
+        if attached is not None:
+            core = core.join(attached.groupBy("key").agg(F.sum("n").alias("cert_ids")), "key", "left")
     # A copied event counts in event_count but is kept once here.
     distinct_events = keyed.dropDuplicates(["key", "raw_id"]).withColumn("us", _us())
     if "evidence" in parts:
@@ -225,7 +259,7 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
     if attached is not None and {"evidence", "events"} & set(parts):
         samples = attached.groupBy("key").agg(
             F.flatten(F.collect_list("refs")).alias("cert_refs"),
-            F.slice(F.array_sort(F.flatten(F.collect_list("events"))), 1, settings.max_events_per_log_type).alias("cert_events"))
+            first_items(F.array_sort(F.flatten(F.collect_list("events"))), settings.max_events_per_log_type).alias("cert_events"))
         core = core.join(samples, "key", "left")
     return _assemble(core, names, settings, F.current_timestamp() if updated_at is None else updated_at, with_key)
 
@@ -238,7 +272,7 @@ def flag_columns(log_types: Column) -> dict[str, Column]:
 HARDENED_COLUMNS = {
     "key_type": "string", "flow_based": "boolean", "category": "string", "excluded_from_behavior": "boolean",
     "noise_reasons": "array<string>", "evidence_count": "int", "raw_event_count": "int", "normalized_event_count": "int",
-    "events_truncated": "boolean", "scope": "string", "same_subnet": "boolean", "same_spoke": "boolean", "same_vnet": "boolean",
+    "events_truncated": "boolean", "noise_tags": "array<string>", "fragment": "boolean", "conn_local_orig": "boolean", "conn_local_resp": "boolean", "scope": "string", "same_subnet": "boolean", "same_spoke": "boolean", "same_vnet": "boolean",
     **{f"asset_{f}": "string" for f in ("ip", "side", "spoke", "vnet", "subnet", "subnet_cidr", "scope")},
     **{f"{side}_{f}": "string" for side in ("src", "dst") for f in ("scope", "spoke", "vnet", "subnet", "subnet_cidr")},
 }
@@ -281,6 +315,11 @@ def _assemble(df: DataFrame, names: Sequence[str], settings: Settings, updated_a
     }
     for name in names:
         out[name] = _section_column(name)
+    if "own_ids" in have:
+        total_ids = F.col("own_ids") + (F.coalesce("cert_ids", F.lit(0)) if "cert_ids" in have else F.lit(0))
+        noise = F.transform(F.array_sort(F.filter(F.coalesce("entries", F.array().cast(dict(df.dtypes)["entries"])), lambda e: e.field == "noise")), lambda e: e.value)
+        out |= {"evidence_count": total_ids.cast("int"), "normalized_event_count": total_ids.cast("int"), "noise_tags": noise, "fragment": c("fragment"),
+                "conn_local_orig": c("conn_backbone.local_orig"), "conn_local_resp": c("conn_backbone.local_resp")}
     out["evidence"] = _evidence(have, settings)
     out["zeek"] = _kept_events(have)
     out["updated_at"] = updated_at
@@ -294,7 +333,7 @@ def _evidence(have: set[str], settings: Settings) -> Column:
     if "cert_refs" in have:
         refs = F.concat(F.coalesce("refs", F.array().cast(f"array<struct<us:bigint,id:string,ref:{EVIDENCE}>>")),
                         F.coalesce("cert_refs", F.array().cast(f"array<struct<us:bigint,id:string,ref:{EVIDENCE}>>")))
-    return F.transform(F.slice(F.array_sort(refs), 1, settings.max_evidence_items), lambda e: e.ref)
+    return F.transform(first_items(F.array_sort(refs), settings.max_evidence_items), lambda e: e.ref)
 
 
 def _kept_events(have: set[str]) -> Column:
@@ -310,9 +349,7 @@ def _kept_events(have: set[str]) -> Column:
 
 
 _HARDENED_FIELDS = {
-    "x509": {"fingerprints": "array<string>", "subjects": "array<string>", "issuers": "array<string>",
-             "not_valid_before_all": "array<double>", "not_valid_after_all": "array<double>", "key_types": "array<string>",
-             "key_lengths": "array<bigint>", "signature_algorithms": "array<string>", "is_ca": "boolean"},
+    "x509": {"is_ca": "boolean"},
     "files": {"count": "int", "mime_type_count": "int", "hash_count": "int"},
 }
 

@@ -8,7 +8,7 @@ from tidewatch.functions import ip as I
 from tidewatch.operators import hardening as H, lookups as LK
 from tidewatch.operators.merge import merge_sessions
 from tidewatch.operators.sections import SECTIONS
-from tidewatch.operators.sessions import attach_certificates, build_sessions, certificate_table, with_session_key
+from tidewatch.operators.sessions import attach_certificates, build_sessions, certificate_table, evidence_rows, with_session_key
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
 from tidewatch.plans.views import ALL, epoch, hardened, joined, sessions, us
@@ -48,14 +48,14 @@ def volumes(spark, d):
 
 
 @query("a04_evidence", O.prepared("""SELECT key, n, first_id, last_id FROM (SELECT key, count(*) AS n, min(raw_id) FILTER (WHERE r = 1) AS first_id, max_by(raw_id, r) AS last_id
-    FROM (SELECT key, raw_id, row_number() OVER (PARTITION BY key ORDER BY us, raw_id) AS r FROM (SELECT DISTINCT key, raw_id, us FROM prepared) a) b WHERE r <= 100 GROUP BY key) t"""))
+    FROM (SELECT key, raw_id, row_number() OVER (PARTITION BY key ORDER BY us, raw_id) AS r FROM (SELECT DISTINCT key, raw_id, us FROM prepared) a) b GROUP BY key) t"""))
 def evidence(spark, d):
-    rows = build_sessions(raw_logs(spark, d), sections=(), parts=("certificates", "evidence"), updated_at=epoch(), with_key=True)
-    return rows.select("key", F.size("evidence").cast("bigint").alias("n"), F.get("evidence", F.lit(0)).id.alias("first_id"), F.element_at("evidence", -1).id.alias("last_id"))
+    at = F.struct("us", "raw_id")
+    return evidence_rows(raw_logs(spark, d)).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("ref.id", at).alias("first_id"), F.max_by("ref.id", at).alias("last_id"))
 
 
 @query("a05_kept_events", O.prepared("""SELECT key, log_type, count(*) AS n, string_agg(raw_id, '|' ORDER BY us, raw_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY key, log_type ORDER BY us, raw_id) AS r
-    FROM (SELECT DISTINCT key, log_type, raw_id, us FROM prepared) a) b WHERE r <= 20 GROUP BY 1, 2"""))
+    FROM (SELECT DISTINCT key, log_type, raw_id, us FROM prepared) a) b GROUP BY 1, 2"""))
 def kept_events(spark, d):
     rows = build_sessions(raw_logs(spark, d), sections=(), parts=("certificates", "events"), updated_at=epoch(), with_key=True)
     flat = rows.select("key", F.explode("zeek").alias("log_type", "events"))
@@ -168,19 +168,19 @@ def upsert_counts(spark, d):
 
 # ---------------------------------------------------------------- hardening
 
-@query("a07_counts", O.hardened("""SELECT session_id, ts_us, CAST(least(100, ids) AS INT) AS evidence_count, CAST(kept AS INT) AS normalized_event_count, least(100, ids) > kept AS events_truncated
-    FROM hard JOIN (SELECT key, sum(n) AS ids, sum(least(20, n)) AS kept FROM (SELECT key, log_type, count(DISTINCT raw_id) AS n FROM prepared GROUP BY 1, 2) t GROUP BY key) k USING (key)"""))
+@query("a07_counts", O.hardened("""SELECT session_id, ts_us, CAST(ids AS INT) AS evidence_count, CAST(ids AS INT) AS normalized_event_count, false AS events_truncated
+    FROM hard JOIN (SELECT key, sum(n) AS ids FROM (SELECT key, log_type, count(DISTINCT raw_id) AS n FROM prepared GROUP BY 1, 2) t GROUP BY key) k USING (key)"""))
 def counts(spark, d):
     return hardened(spark, d).select("session_id", us("ts").alias("ts_us"), "evidence_count", "normalized_event_count", "events_truncated")
 
 
-_CERT_ROWS = "(SELECT key, fingerprint, cert_subject, cert_issuer, cert_key_length, basic_constraints_ca FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY us, raw_id) AS r FROM prepared WHERE log_type = 'x509') x WHERE r <= 20)"
+_CERT_ROWS = "(SELECT key, fingerprint, cert_subject, cert_issuer, cert_key_length, basic_constraints_ca FROM prepared WHERE log_type = 'x509')"
 
 
 @query("a08_x509_arrays", O.prepared(f"""SELECT key, count(DISTINCT fingerprint) AS fingerprints, array_to_string(list_sort(list(DISTINCT cert_subject)), '|') AS subjects,
     array_to_string(list_sort(list(DISTINCT cert_issuer)), '|') AS issuers, count(DISTINCT cert_key_length) AS key_lengths, bool_or(basic_constraints_ca) AS is_ca FROM {_CERT_ROWS} t GROUP BY key"""))
 def x509_arrays(spark, d):
-    rows = build_sessions(raw_logs(spark, d), sections=("x509",), parts=("certificates", "events"), updated_at=epoch(), with_key=True)
+    rows = build_sessions(raw_logs(spark, d), sections=("x509",), parts=("certificates", "facts"), updated_at=epoch(), with_key=True)
     rows = H.harden_x509(rows).where(c("x509").isNotNull())
     return rows.select("key", F.size("x509.fingerprints").cast("bigint").alias("fingerprints"), joined(F.array_sort("x509.subjects")).alias("subjects"),
                        joined(F.array_sort("x509.issuers")).alias("issuers"), F.size("x509.key_lengths").cast("bigint").alias("key_lengths"), c("x509.is_ca").alias("is_ca"))
@@ -195,19 +195,19 @@ def files(spark, d):
 
 @query("a10_noise_roll_up", O.hardened("SELECT session_id, ts_us, noisy FROM hard"))
 def noise(spark, d):
-    rows = H.roll_up_noise(sessions(spark, d, parts=("certificates", "events")))
+    rows = H.roll_up_noise(sessions(spark, d, parts=("certificates", "facts")))
     return rows.select("session_id", us("ts").alias("ts_us"), (F.coalesce("category", F.lit("")) == "noise").alias("noisy"))
 
 
 @query("a11_key_type_flow", O.hardened("SELECT session_id, ts_us, key_type, flow_based, category FROM hard"))
 def key_type(spark, d):
-    return hardened(spark, d, parts=("certificates", "events")).select("session_id", us("ts").alias("ts_us"), "key_type", "flow_based", "category")
+    return hardened(spark, d, parts=("certificates", "facts")).select("session_id", us("ts").alias("ts_us"), "key_type", "flow_based", "category")
 
 
 @query("a12_control_plane", O.hardened("SELECT session_id, ts_us, excluded, nullif(noise_reasons, '') AS noise_reasons FROM hard"))
 @query("a13_hardening_order", O.hardened("SELECT session_id, ts_us, excluded, nullif(noise_reasons, '') AS noise_reasons FROM hard"))
 def control_plane(spark, d):
-    return hardened(spark, d, parts=("certificates", "events")).select(
+    return hardened(spark, d, parts=("certificates", "facts")).select(
         "session_id", us("ts").alias("ts_us"), c("excluded_from_behavior").alias("excluded"), joined(c("noise_reasons")).alias("noise_reasons"))
 
 

@@ -20,7 +20,7 @@ def epoch() -> Column:
     return F.timestamp_seconds(F.lit(1704067200))
 
 
-ALL = ("certificates", "evidence", "events")
+ALL = ("certificates", "facts")
 
 
 def sessions(spark: SparkSession, sf_dir: str, *names: str, parts=("certificates",)) -> DataFrame:

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Settings:
     # sessions
-    max_events_per_log_type: int = 20
-    max_evidence_items: int = 100
+    max_events_per_log_type: int | None = None
+    max_evidence_items: int | None = None
     keep_raw_documents: bool = True
     session_overlap_seconds: int = 1800
     session_initial_lookback_seconds: int = 259200
