@@ -322,7 +322,8 @@ def links(frame: DataFrame, distinct: DataFrame, grouped: DataFrame, similarity:
     """Per set with links ``id``, ``links`` (documents of other sets at or above the similarity), and ``id``, ``root`` of its class; stored."""
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     wanted = stored(grouped.join(sizes, "root").join(distinct.drop("tokens"), F.col("node") == F.col("id")).select("id", "root", "size", "row", "k1", "k2", "copies"), "wanted")
-    texts = frame.select("row", "text").join(wanted, "row").withColumn("blocks", F.ceil(F.col("size") / GROUP_BLOCK).cast("int"))
+    # Both sides are always dealt out by row: the wanted rows grow with the documents, so they are not to be broadcast at any size.
+    texts = frame.select("row", "text").join(wanted.hint("shuffle_merge"), "row").withColumn("blocks", F.ceil(F.col("size") / GROUP_BLOCK).cast("int"))
     units = in_blocks(texts, "root", "size", GROUP_BLOCK).select("unit", "id", "own", "first", "second", "copies", "k1", "k2", "blocks", "text")
     compared = stored(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_compare(similarity), "id bigint, links bigint, root bigint, open boolean"), "compared")
     counts = compared.groupBy("id").agg(F.sum("links").alias("links"))
@@ -357,7 +358,7 @@ def filtered(frame: DataFrame) -> DataFrame:
     """One document of each class, the one of the least doc_id, with the columns of ``frame``; texts without words all stay."""
     sets_, per_set = joined(frame.select("doc_id", "text"))
     kept = per_set.select(F.col("keeper").alias("__keep")).distinct().unionByName(sets_.where("n = 0").select(F.col("row").alias("__keep")).distinct())
-    rows = frame.withColumn("__row", F.xxhash64(F.col("doc_id").cast("bigint"), text_of())).join(kept, F.col("__row") == F.col("__keep"))
+    rows = frame.withColumn("__row", F.xxhash64(F.col("doc_id").cast("bigint"), text_of())).join(kept.hint("shuffle_merge"), F.col("__row") == F.col("__keep"))
     again = Window.partitionBy("__row").orderBy("__row")  # equal rows share their hash
     once = rows.withColumn("__nth", F.row_number().over(again)).where((F.col("__nth") == 1) | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return once.select(*[F.col(f"`{c}`") for c in frame.columns])
