@@ -32,7 +32,7 @@ def corpus():
     rows += [(300 + i, " ".join(base), "en", "a", 5) for i in range(6)]  # exact copies
     rows += [(310, "again and again " * 60, "en", "a", 5), (311, "line one here\n" * 30, "en", "c", 5), (312, "", "en", "c", 0), (313, None, None, None, None), (None, "no id " + " ".join(words(draw, 30)), "en", "b", 1), (None, None, None, None, None)]
     rows += [(314, " ".join(words(draw, 30_000, 9000)), "en", "b", 5), (315, "one two", "en", "c", 1), (316, "one two", "de", "c", 1), (317, "$$$ ### " * 30, "en", "c", 1), (318, "x" * 20_000, "en", "c", 1)]
-    rows += [rows[3], rows[3]]
+    rows += [rows[3], rows[3], (313, None, None, None, None)]
     return [(*r, 0.5, "mine", 4) for r in rows]
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch.llm.common import prepare, stored, text_of
 from tidewatch.llm.components import components
+from tidewatch.llm.vocab import unload
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 TOKENS = 128
@@ -104,6 +105,7 @@ def _matrix(column: pa.Array, type_, width: int) -> np.ndarray:
 def sets(frame: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``row`` (a hash of doc_id and text), ``k1``, ``k2`` (the name of its set), ``n`` and ``tokens``; stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         for batch in batches:
             found = [shingles(t) for t in batch.column(2).to_pylist()]
             keys = [set_key(f) for f in found]
@@ -283,6 +285,7 @@ def jaccard_matrix(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 def _compare(similarity: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         for part in whole_units(batches):
             for start, size in zip(*spans(part.column(0).to_numpy())):
                 unit = part.slice(start, size)
@@ -360,7 +363,7 @@ def filtered(frame: DataFrame) -> DataFrame:
     kept = per_set.select(F.col("keeper").alias("__keep")).distinct().unionByName(sets_.where("n = 0").select(F.col("row").alias("__keep")).distinct())
     rows = frame.withColumn("__row", F.xxhash64(F.col("doc_id").cast("bigint"), text_of())).join(kept.hint("shuffle_merge"), F.col("__row") == F.col("__keep"))
     again = Window.partitionBy("__row").orderBy("__row")  # equal rows share their hash
-    once = rows.withColumn("__nth", F.row_number().over(again)).where((F.col("__nth") == 1) | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    once = rows.withColumn("__nth", F.row_number().over(again)).where((F.col("__nth") == 1) | ~text_of().rlike(r"[^\x20\x09-\x0D]"))
     return once.select(*[F.col(f"`{c}`") for c in frame.columns])
 
 

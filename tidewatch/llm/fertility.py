@@ -43,7 +43,7 @@ SCRIPTS = {
 
 class Fertility:
     def __init__(self, processor):
-        self.memo = Memo(processor.encode, limit=300_000)
+        self.memo = Memo(processor.encode, limit=200_000)
         self.is_byte = np.array([processor.is_byte(i) for i in range(processor.get_piece_size())])
 
     def measure(self, texts: list[str]) -> dict[str, np.ndarray]:

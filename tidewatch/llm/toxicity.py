@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.common import prepare, stored, text_of
+from tidewatch.llm.vocab import unload
 
 #: Bounds of the fit: labelled documents (those of the smallest hashes), and features kept (those that tell the classes apart best).
 FIT_ROWS, FEATURES = 20_000, 4_000
@@ -63,7 +64,7 @@ def features_of(words: set[str]) -> list[str]:
 class Presence:
     """Which of the known features a text has, by looking each distinct word up; words met before are remembered."""
 
-    def __init__(self, known: dict[str, int], limit: int = 400_000):
+    def __init__(self, known: dict[str, int], limit: int = 200_000):
         self.limit, self.met, self.levels = limit, {}, {}
         for feature, i in known.items():
             self.levels.setdefault(feature[:-1], []).append((int(feature[-1]), i))
@@ -97,6 +98,7 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Dat
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with each feature, by label, of one partition."""
+    unload()
     counts = (Counter(), Counter())
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -203,6 +205,7 @@ def score(frame: DataFrame, model: tuple[float, dict[str, float]], text: str = "
 
     @F.arrow_udf("double")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        unload()
         start, names, values = shared.value
         presence = Presence({f: i for i, f in enumerate(names)})
         for batch in texts:

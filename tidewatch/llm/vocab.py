@@ -184,10 +184,10 @@ class ByteBpe:
 
     LAST_LETTER = "\u024f"  # letters up to here are letters in every version of Unicode
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, limit: int = 400_000):
         self.model, self.pattern = tokenizer.model, tokenizer.pre_tokenizer
         self.alphabet = {byte: ord(c) for byte, c in enumerate(byte_alphabet()) if byte != ord(c)}
-        self.memo = Memo(self._encode, limit=800_000)
+        self.memo = Memo(self._encode, limit)
 
     def _mapped(self, piece: str) -> str:
         """The piece's bytes as characters of the byte alphabet."""
@@ -248,15 +248,24 @@ _LOADED: dict[tuple[str, int], object] = {}
 
 
 def loaded(kind: Callable, data: bytes):
-    """``kind(data)``, made once in a worker process."""
+    """``kind(data)``, made once in a worker process. A kind that remembers pieces takes the place of others that do."""
     key = (kind.__name__, xxhash.xxh64_intdigest(data))
     if key not in _LOADED:
-        _LOADED[key] = kind(data)
+        made = kind(data)
+        if hasattr(made, "memo"):
+            unload()
+        _LOADED[key] = made
     return _LOADED[key]
 
 
+def unload() -> None:
+    """Forgets what the worker's earlier tasks remembered, so that the memory serves others."""
+    for key in [k for k, made in _LOADED.items() if hasattr(made, "memo")]:
+        del _LOADED[key]
+
+
 def json_bpe(data: bytes) -> ByteBpe:
-    return ByteBpe(from_json(data))
+    return ByteBpe(from_json(data), limit=800_000)
 
 
 def ranks_bpe(data: bytes) -> ByteBpe:
