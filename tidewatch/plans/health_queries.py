@@ -50,11 +50,17 @@ def behavior_report(spark, d):
     return H.behavior_report(behavior_table(spark, d)).where(c("metric").isin("behavior_count", "ml_ready_count", "bad_vector_length", "missing_entity", "exit_code"))
 
 
-@query("h03_freshness", O.raw("SELECT 'raw.freshness' AS id, 'warn' AS status, 600 AS age_seconds UNION ALL SELECT 'session.freshness', 'crit', 7200"))
+def _age(kind: str, latest: str, warn: int, crit: int) -> str:
+    return f"SELECT '{kind}.freshness' AS id, CASE WHEN a >= {crit} THEN 'crit' WHEN a >= {warn} THEN 'warn' ELSE 'ok' END AS status, CAST(floor(a) AS BIGINT) AS age_seconds FROM (SELECT ({_NOW} - ({latest})) / 1000000.0 AS a) t"
+
+
+@query("h03_freshness", O.behaviors(" UNION ALL ".join([
+    _age("raw", "SELECT max(us) FROM raw", 300, 900), _age("session", "SELECT max(ts_us) FROM hard", 900, 1800), _age("behavior", "SELECT max(window_us) FROM rows_all", 1800, 3600)])))
 def freshness(spark, d):
-    raw = raw_table(spark, d)
-    rows = H.freshness(raw, "raw", "raw_ingestion", _now(spark, d, 10)).unionByName(H.freshness(raw, "session", "sessionizer", _now(spark, d, 120)))
-    return _metric(rows, "age_seconds")
+    now = _now(spark, d, 0)
+    rows = H.freshness(raw_table(spark, d), "raw", "raw_ingestion", now)
+    rows = rows.unionByName(H.freshness(session_table(spark, d), "session", "sessionizer", now))
+    return _metric(rows.unionByName(H.freshness(behavior_table(spark, d), "behavior", "behaviorizer", now, "window_start")), "age_seconds")
 
 
 _SEEN = f"(SELECT DISTINCT log_type FROM raw WHERE us >= {_NOW} - 3600000000)"
