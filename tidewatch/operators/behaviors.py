@@ -280,17 +280,23 @@ def facet_summary(counts: DataFrame, limit: int = 10) -> DataFrame:
     return unique.join(lists, KEY, "left")
 
 
-def session_refs(rows: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` eligible sessions of each window, by time then id."""
+def session_ref_rows(sessions: DataFrame, spec: FeatureSpec = ASSET_15M, mode: str = "asset_sensor") -> DataFrame:
+    """Every eligible session of every window, uncut: (window key, t, session_id, ref)."""
+    return _refs(sessions.transform(with_behavior_key, spec, mode).transform(with_eligibility))
+
+
+def _refs(rows: DataFrame) -> DataFrame:
     ref = F.struct(
         F.date_format("first_seen", "yyyy.MM.dd").alias("index"), c("session_id").alias("id"), "session_id", "uid", "community_id",
         c("ts").alias("timestamp"), "log_types", c("src_ip").alias("source_ip"), c("dst_ip").alias("destination_ip"),
         c("dst_port").alias("destination_port"))
+    return rows.where("eligible").select(*KEY, F.coalesce("first_seen", "ts").alias("t"), "session_id", ref.alias("ref"))
+
+
+def session_refs(rows: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` eligible sessions of each window, by time then id: for display, see :func:`session_ref_rows` for all."""
     order = Window.partitionBy(*KEY).orderBy("t", "session_id")
-    cut = (
-        rows.where("eligible").select(*KEY, F.coalesce("first_seen", "ts").alias("t"), "session_id", ref.alias("ref"))
-        .withColumn("rank", F.row_number().over(order)).where(c("rank") <= limit)
-    )
+    cut = _refs(rows).withColumn("rank", F.row_number().over(order)).where(c("rank") <= limit)
     listed = cut.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("rank", "ref"))).alias("l"))
     return listed.select(*KEY, F.transform("l", lambda x: x.ref).alias("session_refs"))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions.values import iso_millis
-from tidewatch.settings import DEFAULTS, Settings
+from tidewatch.operators.behaviors import KEY, session_ref_rows
+from tidewatch.settings import ASSET_15M, DEFAULTS, FeatureSpec, Settings
 
 c = F.col
 FINDING_TYPE = "ml_behavior_anomaly"
@@ -83,10 +84,15 @@ def build_findings(scored: DataFrame, stored: DataFrame | None = None, settings:
     ).dropDuplicates(["dedup_id"])
 
 
-def pivot_to_sessions(findings: DataFrame, behaviors: DataFrame) -> DataFrame:
-    """finding -> behaviour -> the session references used for its vector."""
-    refs = behaviors.select("behavior_id", F.explode("evidence.session_refs").alias("r"))
-    return findings.select("dedup_id", "behavior_id").join(refs, "behavior_id").select("dedup_id", "behavior_id", "r.*")
+def pivot_to_sessions(findings: DataFrame, sessions: DataFrame, spec: FeatureSpec = ASSET_15M, settings: Settings = DEFAULTS) -> DataFrame:
+    """finding -> all eligible sessions of its window; ``spec`` is the feature set of the findings that are read.
+
+    The list in ``evidence.session_refs`` is for display only, as it is cut.
+    """
+    keys = findings.where(c("feature_set") == spec.feature_set).select(
+        "dedup_id", "behavior_id", "entity", F.coalesce("sensor", F.lit("")).alias("sensor_key"), "window_start")
+    refs = session_ref_rows(sessions, spec, settings.entity_mode).select(*KEY, c("ref").alias("r"))
+    return keys.join(refs, KEY).select("dedup_id", "behavior_id", "r.*")
 
 
 def pivot_to_raw(refs: DataFrame, raw: DataFrame) -> DataFrame:

@@ -173,9 +173,8 @@ def top_lists(spark, d):
 
 @query("b16_session_refs", _win("count(*) AS refs, min(session_id) AS first_id"))
 def refs(spark, d):
-    b = behavior_table(spark, d).where("quality.session_count_used > 0")
-    ids = F.transform("evidence.session_refs", lambda r: r["id"])
-    return b.select("entity", F.coalesce("sensor", F.lit("")).alias("sensor"), us("window_start").alias("window_us"), c("evidence.session_ref_count").alias("refs"), F.array_min(ids).alias("first_id"))
+    rows = B.session_ref_rows(session_table(spark, d)).groupBy(*B.KEY).agg(F.count("*").alias("refs"), F.min("session_id").alias("first_id"))
+    return rows.select("entity", c("sensor_key").alias("sensor"), us("window_start").alias("window_us"), "refs", "first_id")
 
 
 @query("b17_quality", _win("count(*) AS total, count(*) FILTER (WHERE eligible) AS used, count(*) FILTER (WHERE NOT eligible) AS excluded, "

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import findings as FI, forest as K
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
-from tidewatch.plans.views import behavior_table, epoch, joined, raw_table, stored, us
+from tidewatch.plans.views import behavior_table, epoch, joined, raw_table, session_table, stored, us
 from tidewatch.settings import ASSET_15M, DEFAULTS
 
 c = F.col
@@ -152,9 +152,8 @@ def suppression(spark, d):
 @query("j11_finding_pivot", _sql(f"""SELECT behavior_id || '|ml_behavior_anomaly' AS dedup_id, count(*) AS sessions FROM w JOIN (SELECT *, 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id FROM used) u
     USING (behavior_id) WHERE {_RAW} > 0.8 AND {_SCORE} >= 0.70 GROUP BY 1"""))
 def pivot(spark, d):
-    b = behavior_table(spark, d)
     rows = FI.build_findings(_injected(spark, d), created_at=epoch()).where("confidence >= 0.70")
-    return FI.pivot_to_sessions(rows, b).groupBy("dedup_id").agg(F.count("*").alias("sessions"))
+    return FI.pivot_to_sessions(rows, session_table(spark, d)).groupBy("dedup_id").agg(F.count("*").alias("sessions"))
 
 
 @query("t01_latest_behaviors", _sql("SELECT behavior_id, window_us FROM w ORDER BY window_us DESC, behavior_id LIMIT 10"))
