@@ -96,6 +96,13 @@ def test_container_names(model, name):
     assert html_text.main_text(page, model) == TEXT
 
 
+@pytest.mark.parametrize("left_out", ["</head>", "</head><body>"])
+def test_head_without_its_end_tag(model, left_out):
+    assert html_text.main_text(PAGE.replace("</head><body>", "</head><body>".replace(left_out, "")), model) == TEXT
+    bare = html_text.parse("<html><head><title>t</title><meta charset=x>words<p>more</p>")
+    assert html_text.blocks(bare) == ["words", "more"]
+
+
 def test_decoding_never_keeps_below_what_is_dropped():
     draw = np.random.default_rng(5)
     for _ in range(50):

@@ -28,6 +28,7 @@ from tidewatch.llm.common import prepare, text_of
 #: Elements of the HTML standard by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = set("script style noscript template head title svg math iframe object canvas textarea select button option datalist audio video map dialog".split())
+HEAD_CONTENT = set("base link meta noframes noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 ENDS_P = set("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 #: Which open element a new one closes, and where the search for it stops.
@@ -66,6 +67,11 @@ class Page(HTMLParser):
         self.links = 0  # open links
 
     def handle_starttag(self, tag, attrs):
+        if self.silent == ["head"]:  # its end tag may be left out: what is no head content ends it
+            if tag in ("html", "head"):
+                return
+            if tag not in HEAD_CONTENT:
+                self.silent.clear()
         if self.silent:
             if tag not in VOID:
                 self.silent.append(tag)
@@ -129,6 +135,8 @@ class Page(HTMLParser):
             self._close({tag}, {"body"} if tag in ENDS_P else {"table", "ul", "ol", "dl", "body"})
 
     def handle_data(self, data):
+        if self.silent == ["head"] and data.strip():
+            self.silent.clear()
         if not self.silent:
             self.at.children.append((data, self.links))
 
