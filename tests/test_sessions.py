@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.hardening import harden_sessions
 from tidewatch.operators.merge import merge_sessions
-from tidewatch.operators.sessions import build_sessions, evidence_rows, to_documents
+from tidewatch.operators.sessions import build_sessions, evidence_rows, kept_event_rows, listed_ids, to_documents
 from tidewatch.schemas import raw_schema
 from tidewatch.sources.tables import SessionTable
 
@@ -117,3 +117,22 @@ def test_upsert_is_idempotent_and_keeps_the_day(spark, tmp_path):
     rows = {r.session_id: r for r in table.read().collect()}
     assert len(rows) == 2 and rows["C1"].event_count == 2 and str(rows["C1"].event_date) == "2026-05-06"
     assert to_documents(table.read().drop("event_date")).count() == 2
+
+
+def test_events_of_a_large_session_stay_rows(spark):
+    hello = event("ssl", "r2", 1, cert_chain_fps=["F1"])
+    cert = event("x509", "x1", 3, uid=None, fingerprint="F1", cert_subject="CN=a")
+    many = [event("conn", f"c{i:03d}", 300 - i) for i in range(150)]
+    rows = kept_event_rows(raw(spark, hello, cert, *many, many[0]))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan
+    got = {r.log_type: r for r in listed_ids(rows).collect()}
+    assert {t: r.n for t, r in got.items()} == {"conn": 150, "ssl": 1, "x509": 1}
+    assert got["conn"].ids == "|".join(f"c{i:03d}" for i in reversed(range(150)))
+
+
+def test_merge_counts_events_of_long_tables(spark):
+    sides = [raw(spark, CONN, NOTICE), raw(spark, CONN, SSL, event("x509", "x1", 3, uid=None, fingerprint="F1"))]
+    old, new = (build_sessions(r, sections=(), parts=("certificates",), with_key=True) for r in sides)
+    m = only(merge_sessions(old, new, events=kept_event_rows(sides[0]).unionByName(kept_event_rows(sides[1]))))
+    assert (m.session_id, m.merge_state, m.event_count, m.log_types, m.zeek) == ("C1", "updated", 4, ["conn", "notice", "ssl", "x509"], None)

@@ -32,15 +32,18 @@ def count_kept_events(zeek: Column) -> Column:
     return F.coalesce(F.aggregate(F.map_values(zeek), F.lit(0), lambda acc, e: acc + F.size(e)), F.lit(0))
 
 
-def merge_sessions(stored: DataFrame, built: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def merge_sessions(stored: DataFrame, built: DataFrame, settings: Settings = DEFAULTS, events: DataFrame | None = None) -> DataFrame:
     """Full outer join on the session id; rows on both sides are merged, others pass through.
 
     ``merge_state`` is created, updated or kept.  Rows without an id are dropped.
+    ``events`` are the kept events of both sides as a long table (``sessions.kept_event_rows``).  Then the sides carry ``key`` and
+    no arrays of events, are joined on the key, and the events of updated rows are counted in the table.
     """
-    names = [n for n in built.columns if n != "session_id"]
-    old = stored.select("session_id", F.lit(True).alias("_old"), *[F.col(n).alias(f"o_{n}") for n in names])
-    new = built.where("session_id is not null").select("session_id", F.lit(True).alias("_new"), *[F.col(n).alias(f"n_{n}") for n in names])
-    pair = old.join(new, "session_id", "full_outer")
+    by = "session_id" if events is None else "key"
+    names = [n for n in built.columns if n != by]
+    old = stored.select(by, F.lit(True).alias("_old"), *[F.col(n).alias(f"o_{n}") for n in names])
+    new = built.where("session_id is not null").select(by, F.lit(True).alias("_new"), *[F.col(n).alias(f"n_{n}") for n in names])
+    pair = old.join(new, by, "full_outer")
     both = F.col("_old") & F.col("_new")
     types = {f.name: f.dataType for f in built.schema.fields}
 
@@ -57,7 +60,7 @@ def merge_sessions(stored: DataFrame, built: DataFrame, settings: Settings = DEF
                                              settings.max_events_per_log_type))
         elif n == "evidence":
             value = first_per_id(joined(n), "id", settings.max_evidence_items)
-        elif n in ("ts", "conn_local_orig", "conn_local_resp"):
+        elif n in ("session_id", "ts", "conn_local_orig", "conn_local_resp"):
             value = F.coalesce(o, w)
         elif n == "fragment":
             value = F.coalesce(o | w, o, w)
@@ -73,9 +76,12 @@ def merge_sessions(stored: DataFrame, built: DataFrame, settings: Settings = DEF
             value = merge_values(types[n], o, w)
         cols[n] = value
     state = F.when(both, "updated").when(F.col("_new"), "created").otherwise("kept")
-    merged = pair.select("session_id", state.alias("merge_state"), *[v.alias(k) for k, v in cols.items()])
+    merged = pair.select(by, state.alias("merge_state"), *[v.alias(k) for k, v in cols.items()])
     kept = count_kept_events(F.col("zeek"))
     recount = F.when(kept > 0, kept).otherwise(F.size("evidence")).cast("bigint")
+    if events is not None:
+        counted = events.select("key", "log_type", "raw_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+        merged, recount = merged.join(counted, "key", "left"), F.col("_n")
     updated = (F.col("merge_state") == "updated") & (recount >= 0)
     merged = merged.withColumns(
         {"event_count": F.when(updated, recount).otherwise(F.col("event_count"))} | flag_columns(F.col("log_types")))

@@ -118,14 +118,35 @@ def noise_items(rows: DataFrame, *keep: str) -> DataFrame:
 
 def evidence_rows(raw: DataFrame, certificates: bool = True) -> DataFrame:
     """Every event behind every session, uncut: (key, log_type, us, raw_id, ref), once each, certificates included."""
-    keyed = with_session_key(raw).select("key", "log_type", _us().alias("us"), "raw_id", evidence_ref().alias("ref"))
+    return _long_rows(raw, evidence_ref().alias("ref"), certificates)
+
+
+def kept_event_rows(raw: DataFrame, settings: Settings = DEFAULTS, certificates: bool = True) -> DataFrame:
+    """The kept events of every session, uncut: (key, log_type, us, raw_id, event), once each, certificates included.
+
+    Rows are dealt out by event, so a session of any size is spread over many tasks.
+    """
+    return _long_rows(raw, kept_event(settings.keep_raw_documents).alias("event"), certificates)
+
+
+def _long_rows(raw: DataFrame, value: Column, certificates: bool) -> DataFrame:
+    keyed = with_session_key(raw).select("key", "log_type", _us().alias("us"), "raw_id", value)
     if certificates:
         x509 = raw.where((safe_log_type(c("log_type")) == "x509") & (c("fingerprint") != "")).withColumn("log_type", F.lit("x509"))
-        x509 = x509.select("fingerprint", "log_type", _us().alias("us"), "raw_id", evidence_ref().alias("ref")).dropDuplicates(["fingerprint", "raw_id"])
+        x509 = x509.select("fingerprint", "log_type", _us().alias("us"), "raw_id", value).dropDuplicates(["fingerprint", "raw_id"])
         keyed = keyed.unionByName(attach_certificates(with_session_key(raw), x509).drop("fingerprint"))
     return keyed.dropDuplicates(["key", "log_type", "raw_id"])
 
 
+def listed_ids(events: DataFrame) -> DataFrame:
+    """(key, log_type, n, ids): ids in time order as one text, sorted and joined by minute first, so that no task sorts a whole session."""
+    minute = F.floor(c("us") / 60000000).alias("minute")
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("us", "raw_id"))), lambda e: e.raw_id)
+    parts = events.groupBy("key", "log_type", minute).agg(F.count(F.lit(1)).alias("n"), F.array_join(ids, "|").alias("ids"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("minute", "ids"))), lambda e: e.ids)
+    return parts.groupBy("key", "log_type").agg(F.sum("n").alias("n"), F.array_join(texts, "|").alias("ids"))
+
+
 def attach_certificates(keyed: DataFrame, certificates: DataFrame) -> DataFrame:
     """(key, certificate summary) for every distinct fingerprint a session's handshakes presented."""
     shown = (
@@ -190,7 +211,7 @@ def build_sessions(raw: DataFrame, settings: Settings = DEFAULTS, sections: Sequ
 
     ``sections`` and ``parts`` restrict the work to what a caller reads; the omitted columns
     are typed nulls.  ``facts`` are what hardening needs of all events: their number, noise, fragments.  The parts ``evidence``
-    and ``events`` are arrays for documents and for merging late data; :func:`evidence_rows` has the same as a long table.
+    and ``events`` are arrays for documents; :func:`evidence_rows` and :func:`kept_event_rows` have the same as long tables, for sessions of any size.
     ``certificates`` replaces the certificate table of this read window,
     e.g. by a stored one that also knows certificates logged earlier.
     """

@@ -8,7 +8,7 @@ from tidewatch.functions import ip as I
 from tidewatch.operators import hardening as H, lookups as LK
 from tidewatch.operators.merge import merge_sessions
 from tidewatch.operators.sections import SECTIONS
-from tidewatch.operators.sessions import attach_certificates, build_sessions, certificate_table, evidence_rows, with_session_key
+from tidewatch.operators.sessions import attach_certificates, build_sessions, certificate_table, evidence_rows, kept_event_rows, listed_ids, with_session_key
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
 from tidewatch.plans.views import ALL, epoch, hardened, joined, sessions, us
@@ -57,9 +57,7 @@ def evidence(spark, d):
 @query("a05_kept_events", O.prepared("""SELECT key, log_type, count(*) AS n, string_agg(raw_id, '|' ORDER BY us, raw_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY key, log_type ORDER BY us, raw_id) AS r
     FROM (SELECT DISTINCT key, log_type, raw_id, us FROM prepared) a) b GROUP BY 1, 2"""))
 def kept_events(spark, d):
-    rows = build_sessions(raw_logs(spark, d), sections=(), parts=("certificates", "events"), updated_at=epoch(), with_key=True)
-    flat = rows.select("key", F.explode("zeek").alias("log_type", "events"))
-    return flat.select("key", "log_type", F.size("events").cast("bigint").alias("n"), joined(F.transform("events", lambda e: e.raw_id)).alias("ids"))
+    return listed_ids(kept_event_rows(raw_logs(spark, d)))
 
 
 @query("a06_section_assembly", O.sessions("""SELECT session_id, ts_us, list_contains(log_types, 'conn') AS conn, list_contains(log_types, 'dns') AS dns, list_contains(log_types, 'http') AS http,
@@ -135,12 +133,17 @@ def unknown_types(spark, d):
 
 # ---------------------------------------------------------------- merging
 
-def _two_batches(spark, d, parts=("events",)):
+def _merged_batches(first, last):
+    """Sessions built from each of two batches of raw logs and merged; their events stay long tables."""
+    build = lambda rows: build_sessions(rows, sections=("conn", "dns", "notice"), parts=("certificates",), updated_at=epoch(), with_key=True)
+    return merge_sessions(build(first), build(last), events=kept_event_rows(first).unionByName(kept_event_rows(last)))
+
+
+def _two_batches(spark, d):
     """The same sessions built from two batches (first and last thirds of each) and merged."""
     raw = raw_logs(spark, d).where("log_type <> 'x509' and uid is not null")
     early = F.get_json_object("doc", "$.e").cast("bigint") % 3 == 0
-    build = lambda rows: build_sessions(rows, sections=("conn", "dns", "notice"), parts=parts, updated_at=epoch())
-    return merge_sessions(build(raw.where(early)), build(raw.where(~early)))
+    return _merged_batches(raw.where(early), raw.where(~early))
 
 
 _MERGED = O.raw("""SELECT uid AS session_id, array_to_string(list_sort(list(DISTINCT log_type)), '|') AS log_types, min(us) AS first_us, max(us) AS last_us, count(DISTINCT raw_id) AS event_count,
@@ -163,7 +166,7 @@ _COUNTS = O.raw("""SELECT count(*) FILTER (WHERE NOT a AND b) AS created, count(
 @query("s15_dry_run", _COUNTS)
 def upsert_counts(spark, d):
     from tidewatch.sources.tables import write_counts
-    return write_counts(_two_batches(spark, d, parts=()))
+    return write_counts(_two_batches(spark, d))
 
 
 # ---------------------------------------------------------------- hardening
