@@ -136,3 +136,13 @@ def test_merge_counts_events_of_long_tables(spark):
     old, new = (build_sessions(r, sections=(), parts=("certificates",), with_key=True) for r in sides)
     m = only(merge_sessions(old, new, events=kept_event_rows(sides[0]).unionByName(kept_event_rows(sides[1]))))
     assert (m.session_id, m.merge_state, m.event_count, m.log_types, m.zeek) == ("C1", "updated", 4, ["conn", "notice", "ssl", "x509"], None)
+
+
+def test_whole_merge_keeps_certificates_and_events_without_uid(spark):
+    from tidewatch.plans.session_queries import whole_batches
+
+    at = lambda row, e: row | {"doc": f'{{"e":{e}}}'}
+    rows = raw(spark, at(CONN, 0), at(SSL, 1), at(event("x509", "x1", 3, uid="C9", fingerprint="F1"), 2), at(event("conn", "k1", uid=None, community_id="1:a"), 3),
+               at(event("dns", "k2", 5, uid=None, community_id="1:a"), 4), at(event("weird", "y1", 7, uid=None), 6), at(event("weird", "y2", 8, uid=None), 7))
+    got = {r.key.split(":")[0]: (r.merge_state, r.event_count, r.log_types) for r in whole_batches(rows).collect()}
+    assert got == {"C1": ("updated", 3, ["conn", "ssl", "x509"]), "1": ("updated", 2, ["conn", "dns"]), "synthetic": ("updated", 2, ["weird"])}

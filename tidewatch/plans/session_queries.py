@@ -169,6 +169,29 @@ def upsert_counts(spark, d):
     return write_counts(_two_batches(spark, d))
 
 
+def whole_batches(raw):
+    """The merge over all of a table of raw logs, whatever their keys; certificates are known to both batches."""
+    early = F.get_json_object("doc", "$.e").cast("bigint") % 3 == 0
+    certificate = c("log_type") == "x509"
+    return _merged_batches(raw.where(early | certificate), raw.where(~early | certificate))
+
+
+_SIDES = "(SELECT key, bool_or(e % 3 = 0) AS a, bool_or(e % 3 <> 0) AS b FROM keyed GROUP BY key)"
+
+
+@query("m01_whole_merge", O.prepared(f"""SELECT key, array_to_string(list_sort(list(DISTINCT log_type)), '|') AS log_types, min(us) AS first_us, max(us) AS last_us,
+    count(DISTINCT (log_type, raw_id)) AS event_count, bool_or(log_type = 'dns') AS has_dns FROM prepared WHERE key IN (SELECT key FROM {_SIDES} t WHERE a AND b) GROUP BY key"""))
+def whole_merge(spark, d):
+    rows = whole_batches(raw_logs(spark, d)).where("merge_state = 'updated'")
+    return rows.select("key", joined(c("log_types")).alias("log_types"), us("first_seen").alias("first_us"), us("last_seen").alias("last_us"), "event_count", "has_dns")
+
+
+@query("s14_whole_counts", O.prepared(f"SELECT count(*) FILTER (WHERE NOT a AND b) AS created, count(*) FILTER (WHERE a AND b) AS updated, count(*) FILTER (WHERE b) AS upserted FROM {_SIDES} t"))
+def whole_counts(spark, d):
+    from tidewatch.sources.tables import write_counts
+    return write_counts(whole_batches(raw_logs(spark, d)))
+
+
 # ---------------------------------------------------------------- hardening
 
 @query("a07_counts", O.hardened("""SELECT session_id, ts_us, CAST(ids AS INT) AS evidence_count, CAST(ids AS INT) AS normalized_event_count, false AS events_truncated
