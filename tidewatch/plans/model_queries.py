@@ -105,6 +105,17 @@ def finding_build(spark, d):
     return rows.select("dedup_id", "confidence", "status", us("window_start").alias("window_us"))
 
 
+def both_branches(scored):
+    """Findings of both branches of the gate: strong anomalies, and fair ones with a security indicator."""
+    rows = FI.build_findings(scored, created_at=epoch())
+    return rows.select("dedup_id", "confidence", "status", us("window_start").alias("window_us"), joined(c("security_indicators")).alias("indicators"))
+
+
+@query("k11_all_findings")
+def all_findings(spark, d):
+    return both_branches(_injected(spark, d))
+
+
 @query("k12_model_row", _sql("SELECT 'asset_15m_v1_iforest_v1' AS version, count(*) AS training_rows, CASE WHEN count(*) < 20 THEN 'not_enough_training_data' ELSE 'trained' END AS status FROM w WHERE used >= 2"))
 def model_row(spark, d):
     return K.model_row(K.feature_matrix(behavior_table(spark, d), ASSET_15M), ASSET_15M).select("version", "training_rows", "status")
