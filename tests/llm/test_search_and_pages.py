@@ -103,6 +103,12 @@ def test_head_without_its_end_tag(model, left_out):
     assert html_text.blocks(bare) == ["words", "more"]
 
 
+def test_siblings_are_counted_by_tag_at_every_size():
+    nodes, _, x = html_text.describe(html_text.parse("<body>" + "<p>a</p>" * 61 + "<aside>b</aside></body>"))
+    same = dict(zip([n.tag for n in nodes], x[:, html_text.FEATURES.index("same tag siblings")]))
+    assert (same["p"], same["aside"]) == (61, 1)
+
+
 def test_decoding_never_keeps_below_what_is_dropped():
     draw = np.random.default_rng(5)
     for _ in range(50):

@@ -15,6 +15,7 @@ Extra columns stay in ``extract``; a column named like the result is replaced.
 from __future__ import annotations
 
 import random
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -234,8 +235,8 @@ def describe(root: Node) -> tuple[list[Node], np.ndarray, np.ndarray]:
         g = np.array(group)
         x[g, column["place"]] = np.arange(len(g)) / len(g)
         x[g, column["siblings"]] = len(g)
-        same = [sum(nodes[j].tag == nodes[i].tag for j in group) for i in group] if len(g) <= 60 else [len(g)] * len(g)
-        x[g, column["same tag siblings"]] = same
+        tags_here = Counter(nodes[i].tag for i in group)
+        x[g, column["same tag siblings"]] = [tags_here[nodes[i].tag] for i in group]
         x[g, column["text of parent"]] = np.log1p(text[p]) if p >= 0 else 0
         x[g, column["sibling link share"]] = all_links[g].sum() / max(text[g].sum(), 1)
     for name, values in (("text", np.log1p(text)), ("own text", np.log1p(own)), ("links", np.log1p(all_links)), ("link share", own_share), ("words per block", np.log1p(text / np.maximum(filled, 1))),
