@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import byte_bpe, chosen_path, fertility, hilbert, html_text, kd_search, length_histogram, mixing, simple8b, toxicity
+from tidewatch.llm import (
+    byte_bpe, chosen_path, fertility, hilbert, html_text, kd_search, length_histogram, mixing, simple8b, token_alignment, toxicity, whitening, wu_manber,
+)
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +77,21 @@ ORACLES["op9_kd_search"] = kd_search.EVERY_NTH_SQL
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.report(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wu_manber.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_wu_manber"] = wu_manber.REPORT_SQL
