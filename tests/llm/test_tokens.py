@@ -11,7 +11,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 
 from tidewatch.llm import byte_bpe, length_histogram, simple8b
-from tidewatch.llm.vocab import from_json, json_bpe, ranks_bpe, read_file, read_ranks, sections
+from tidewatch.llm.vocab import from_json, json_bpe, ranks_bpe, read_file, read_ranks, sections, word_bpe
 
 MULTI = read_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 JSON = read_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -60,6 +60,17 @@ def test_forgetting_changes_nothing():
         assert flat.tolist() == [i for e in plain.encode_batch(texts, add_special_tokens=False) for i in e.ids]
 
 
+@pytest.mark.parametrize("limit", [50, 800_000])
+def test_words_by_the_list_have_the_same_ids(limit):
+    bpe, plain, draw = word_bpe(JSON, limit), from_json(JSON), random.Random(6)
+    words = ["über", "Größe", "naïve", "the", "ing", "x", "ſ", "ª", "日本", "a1", "don't", ".", ",", "..", "a.", "Ġ", "Āb", "ɐ", "a\n", "\nb", "<|endoftext|>"]
+    for _ in range(30):
+        texts = [" ".join(draw.choice(words) * draw.choice([1, 1, 2]) + draw.choice(["", "", ".", ",", ".,", "\n"]) for _ in range(draw.randint(0, 40))) for _ in range(6)]
+        flat, counts = bpe.encode(texts)
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
 def test_long_text_is_cut_where_ids_do_not_change():
     text = ("Ab cd\tef  gh\n\nij é " * 400) + "x" * 5000
     parts = list(sections(text, 100))

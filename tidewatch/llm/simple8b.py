@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.common import before_parts, prepare, stored, text_of
-from tidewatch.llm.vocab import json_bpe, loaded, read_file, vocabulary_path
+from tidewatch.llm.vocab import loaded, read_file, vocabulary_path, word_bpe
 
 #: Fixed values of the code: how many ids a word holds, and of how many bits, by selector.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -128,7 +128,7 @@ def segments(frame: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, bpe = TaskContext.get().partitionId(), loaded(json_bpe, shared.value)
+        part, bpe = TaskContext.get().partitionId(), loaded(word_bpe, shared.value)
         docs, sizes, ids, held, seq, before = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch.llm.common import prepare, runs, stored
-from tidewatch.llm.vocab import ByteBpe, Memo, byte_alphabet, from_json, from_pieces, loaded, read_file, sections, vocabulary_path
+from tidewatch.llm.vocab import Memo, byte_alphabet, from_json, from_pieces, loaded, read_file, sections, vocabulary_path, word_bpe
 
 BLOCK_PAIRS = 2_000_000
 #: Characters that one step aligns, and words that a worker remembers per side.
@@ -70,7 +70,7 @@ class Aligner:
     def __init__(self, data: bytes):
         size, = struct.unpack_from("<Q", data)
         tokenizer, self.pieces = from_json(data[8:8 + size]), from_pieces(data[8 + size:])
-        self.a = ByteBpe(tokenizer, limit=REMEMBERED)
+        self.a = word_bpe(data[8:8 + size], REMEMBERED)
         self.memo = Memo(self._encode, limit=REMEMBERED)
         byte_of = {c: b for b, c in enumerate(byte_alphabet())}
         names = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]

@@ -7,6 +7,7 @@ A worker process keeps its tokenizer, and the ids of the pieces of text that it
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -244,6 +245,79 @@ class ByteBpe:
         return np.concatenate(flat), counts
 
 
+class FlatMemo(Memo):
+    """A memo whose ``encode`` gives the ids of all pieces one after another, and how many each has."""
+
+    def _add(self, ids: tuple[np.ndarray, np.ndarray]) -> None:
+        self._add_flat(*ids)
+
+
+class WordBpe(ByteBpe):
+    """The same ids; new words of letters are encoded by one call of the library for all of a step, without an object per word.
+
+    Such a word, with its space in front, is one piece, and only its first token begins with the space: so the ids of all words
+    come in one list that falls apart at those tokens. A full stop or comma after a word is a piece and a token of its own.
+    """
+
+    def __init__(self, tokenizer, words, limit: int = 400_000):
+        """``words``: the same model in a tokenizer that splits nothing."""
+        super().__init__(tokenizer, limit)
+        self.memo, self.tokenizer, self.words = FlatMemo(self._encode_flat, limit), tokenizer, words
+        self.stops = {c: tokenizer.token_to_id(c) for c in ".,"}
+        self.space = byte_alphabet()[32]
+        self.first = np.array([(tokenizer.id_to_token(i) or "").startswith(self.space) for i in range(tokenizer.get_vocab_size())])
+
+    def _word(self, name: str) -> str | None:
+        """The name as one piece, if it is a word of letters."""
+        if not name.isalpha():
+            return None
+        return self.space + name if name.isascii() else self._mapped(" " + name) if max(name) <= self.LAST_LETTER else None
+
+    @staticmethod
+    def _chunk(name: str) -> str:
+        return name[1:] if name[:1] == "\r" else name if name[:1] == "\n" else " " + name
+
+    def _encode_flat(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        slots, ends = np.zeros(len(names), np.int64), np.full(len(names), -1, np.int64)
+        fresh: dict[str, int] = {}
+        known, odd = [], []
+        for i, name in enumerate(names):
+            stop = self.stops.get(name[-1:])
+            base = name if stop is None else name[:-1]
+            piece = self._word(base)
+            if piece is None:
+                odd.append(i)
+                continue
+            if stop is not None:
+                ends[i] = stop
+                code = self.memo.codes.get(base)
+                if code is not None:  # the word has been met without its stop
+                    known.append((i, code))
+                    continue
+            slots[i] = fresh.setdefault(piece, len(fresh))
+        flat = np.zeros(0, np.uint32)
+        if fresh:
+            flat = np.array(self.words.encode_batch_fast([list(fresh)], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        starts = np.flatnonzero(self.first[flat])
+        if len(starts) != len(fresh):
+            raise ValueError("a word whose tokens do not show where it begins")
+        of_known, codes = np.array(known, np.int64).reshape(-1, 2).T
+        others = [one.ids for one in self.tokenizer.encode_batch_fast([self._chunk(names[i]) for i in odd], add_special_tokens=False)]
+        sizes = np.concatenate([np.diff(np.append(starts, len(flat))), self.memo.sizes[codes], np.fromiter(map(len, others), np.int64, len(others))])
+        flat = np.concatenate([flat, self.memo.ids(codes), np.fromiter((i for one in others for i in one), np.uint32)])
+        slots[of_known] = len(fresh) + np.arange(len(known))
+        slots[odd] = len(fresh) + len(known) + np.arange(len(odd))
+        begins, own = (np.cumsum(sizes) - sizes)[slots], sizes[slots]
+        counts = own + (ends >= 0)
+        out = np.zeros(int(counts.sum()), np.uint32)
+        at = np.cumsum(counts) - counts
+        inner = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+        out[np.repeat(at, own) + inner] = flat[np.repeat(begins, own) + inner]
+        stopped = ends >= 0
+        out[(at + own)[stopped]] = ends[stopped]
+        return out, counts
+
+
 _LOADED: dict[tuple[str, int], object] = {}
 
 
@@ -268,5 +342,17 @@ def json_bpe(data: bytes) -> ByteBpe:
     return ByteBpe(from_json(data), limit=800_000)
 
 
+def word_bpe(data: bytes, limit: int = 800_000) -> WordBpe:
+    """``json_bpe`` with words by the list; the library's own cache of words is off, as the memo takes its place."""
+    from tokenizers import Tokenizer, models
+
+    tokenizer, model = from_json(data), json.loads(data)["model"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    options = {k: model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k) is not None}
+    flags = {k: bool(model.get(k)) for k in ("fuse_unk", "byte_fallback", "ignore_merges")}
+    words = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, **options, **flags))
+    return WordBpe(tokenizer, words, limit)
+
+
 def ranks_bpe(data: bytes) -> ByteBpe:
     return ByteBpe(from_ranks(data))
