@@ -31,7 +31,7 @@ from tidewatch.llm.vocab import Memo, byte_alphabet, from_json, from_pieces, loa
 
 BLOCK_PAIRS = 2_000_000
 #: Characters that one step aligns, and words that a worker remembers per side.
-STEP, REMEMBERED = 1 << 20, 250_000
+STEP, REMEMBERED = 1 << 20, 450_000
 SPACED = re.compile(" +[^ ]*")
 ID_BITS = 20
 IDS = (1 << ID_BITS) - 1

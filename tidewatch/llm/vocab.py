@@ -267,6 +267,13 @@ class WordBpe(ByteBpe):
         self.space = byte_alphabet()[32]
         self.first = np.array([(tokenizer.id_to_token(i) or "").startswith(self.space) for i in range(tokenizer.get_vocab_size())])
 
+    def _chunks(self, text: str) -> list[str]:
+        if text[:1] == " " and text[1:2] not in ("", " ", "\n"):  # the space is that of the first chunk, as of any other
+            names = super()._chunks(text[1:])
+            if len(names) == 1 or names[1][:1] != "\r":
+                return [names[0][1:], *names[1:]] if not any(space in text for space in ODD) else ["\r" + text]
+        return super()._chunks(text)
+
     def _word(self, name: str) -> str | None:
         """The name as one piece, if it is a word of letters."""
         if not name.isalpha():
