@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewatch.functions import ip as I
@@ -12,7 +14,9 @@ from tidewatch.operators.sessions import attach_certificates, build_sessions, ce
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
 from tidewatch.plans.views import ALL, epoch, hardened, joined, sessions, us
-from tidewatch.sources.adapters import SUBNETS, raw_logs
+from tidewatch.session import ensure_checkpoint_dir
+from tidewatch.sources.adapters import SUBNETS, raw_columns, raw_logs
+from tidewatch.streaming.incremental import SessionStore, run_in_parts
 
 c = F.col
 
@@ -151,23 +155,11 @@ _MERGED = O.raw("""SELECT uid AS session_id, array_to_string(list_sort(list(DIST
 
 
 @query("m01_document_merge", _MERGED)
-@query("j03_stored_session_join", _MERGED)
-@query("w04_late_session_upsert", _MERGED)
 def document_merge(spark, d):
     rows = _two_batches(spark, d).where("merge_state = 'updated'")
     return rows.select("session_id", joined(c("log_types")).alias("log_types"), us("first_seen").alias("first_us"), us("last_seen").alias("last_us"), "event_count", "has_dns")
 
 
-_COUNTS = O.raw("""SELECT count(*) FILTER (WHERE NOT a AND b) AS created, count(*) FILTER (WHERE a AND b) AS updated, count(*) FILTER (WHERE b) AS upserted
-    FROM (SELECT uid, bool_or(e % 3 = 0) AS a, bool_or(e % 3 <> 0) AS b FROM raw WHERE log_type <> 'x509' AND uid IS NOT NULL GROUP BY uid) t""")
-
-
-@query("s14_upsert_counts", _COUNTS)
-@query("s15_dry_run", _COUNTS)
-def upsert_counts(spark, d):
-    from tidewatch.sources.tables import write_counts
-    return write_counts(_two_batches(spark, d))
-
 
 def whole_batches(raw):
     """The merge over all of a table of raw logs, whatever their keys; certificates are known to both batches."""
@@ -192,6 +184,68 @@ def whole_counts(spark, d):
     return write_counts(whole_batches(raw_logs(spark, d)))
 
 
+# ---------------------------------------------------------------- the stored session table
+
+_STORES: dict[tuple[str, str], SessionStore] = {}
+
+
+def _parts(spark, d, n=3):
+    """The event table in ``n`` parts, none of which holds all events of a session."""
+    return [spark.read.parquet(f"{d}/events.parquet").where(c("event_id") % n == i) for i in range(n)]
+
+
+def _store(spark, d):
+    """A session store that a stream has filled, one micro-batch per part; made once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORES:
+        raw = raw_logs(spark, d)
+        base = f"{ensure_checkpoint_dir(spark)}/session-store-{uuid.uuid4().hex}"
+        store = SessionStore(spark, base, raw.where("log_type = 'x509'"), sections=("conn", "dns", "notice"), updated_at=epoch())
+        run_in_parts(spark, base, _parts(spark, d), store.upsert, raw_columns)
+        _STORES[key] = store
+    return _STORES[key]
+
+
+_OF_BATCHES = """(SELECT key, min(e % 3) AS first, count(DISTINCT e % 3) AS batches, bool_or(e % 3 = 0) AS b0, bool_or(e % 3 = 1) AS b1, bool_or(e % 3 = 2) AS b2 FROM keyed GROUP BY key)"""
+
+
+@query("w04_late_session_upsert", O.prepared(f"""SELECT key, array_to_string(list_sort(list(DISTINCT log_type)), '|') AS log_types, min(us) AS first_us, max(us) AS last_us,
+    CASE WHEN any_value(batches) > 1 THEN count(DISTINCT (log_type, raw_id)) ELSE count(*) END AS event_count, bool_or(log_type = 'dns') AS has_dns FROM prepared JOIN {_OF_BATCHES} t USING (key) GROUP BY key"""))
+def late_session_upsert(spark, d):
+    rows = _store(spark, d).sessions.read()
+    return rows.select("key", joined(c("log_types")).alias("log_types"), us("first_seen").alias("first_us"), us("last_seen").alias("last_us"), "event_count", "has_dns")
+
+
+@query("s14_upsert_counts", O.prepared(f"""SELECT batch, created, updated, created + updated AS upserted FROM (
+    SELECT CAST(i AS BIGINT) AS batch, count(*) FILTER (WHERE first = i) AS created, count(*) FILTER (WHERE first < i AND CASE i WHEN 1 THEN b1 ELSE b2 END) AS updated
+    FROM {_OF_BATCHES} t, (SELECT unnest(range(3)) AS i) n GROUP BY i) x"""))
+def upsert_counts(spark, d):
+    counts = _store(spark, d).counts
+    return spark.createDataFrame([(b, n["created"], n["updated"], n["upserted"]) for b, n in sorted(counts.items())], "batch bigint, created bigint, updated bigint, upserted bigint")
+
+
+@query("s15_dry_run", O.prepared(f"SELECT count(*) FILTER (WHERE NOT (b0 OR b2)) AS created, count(*) FILTER (WHERE b0 OR b2) AS updated, count(*) AS upserted FROM {_OF_BATCHES} t WHERE b1"))
+def dry_run(spark, d):
+    """What another run of part 1 would write into a table of parts 0 and 2; nothing is written."""
+    from tidewatch.sources.tables import write_counts
+    raw = raw_logs(spark, d)
+    base = f"{ensure_checkpoint_dir(spark)}/dry-run-{uuid.uuid4().hex}"
+    store = SessionStore(spark, base, raw.where("log_type = 'x509'"), sections=("conn",), updated_at=epoch())
+    part = F.get_json_object("doc", "$.e").cast("bigint") % 3
+    store.upsert(raw.where(part != 1), 0)
+    rows, _ = store.merged(raw.where(part == 1), 1)
+    return write_counts(rows)
+
+
+@query("j03_stored_session_join", O.prepared(f"""SELECT key, array_to_string(list_sort(list(DISTINCT log_type)), '|') AS log_types, min(us) AS first_us, max(us) AS last_us FROM prepared
+    WHERE key IN (SELECT key FROM keyed WHERE log_type = 'notice') GROUP BY key"""))
+def stored_session_join(spark, d):
+    """Stored rows of the sessions that hold a notice, found by their keys."""
+    keys = with_session_key(raw_logs(spark, d).where("log_type = 'notice'")).select("key").distinct()
+    rows = _store(spark, d).sessions.lookup(keys)
+    return rows.select("key", joined(c("log_types")).alias("log_types"), us("first_seen").alias("first_us"), us("last_seen").alias("last_us"))
+
+
 # ---------------------------------------------------------------- hardening
 
 @query("a07_counts", O.hardened("""SELECT session_id, ts_us, CAST(ids AS INT) AS evidence_count, CAST(ids AS INT) AS normalized_event_count, false AS events_truncated
