@@ -199,7 +199,6 @@ def document(spark, d):
 
 
 @query("j06_affected_windows", O.behaviors(f"SELECT count(*) AS n, min(ts_us) AS first_us FROM rows_all WHERE ({O.BY_WIN}) IN (SELECT {O.BY_WIN} FROM rows_all WHERE list_contains(log_types, 'notice'))"))
-@query("w05_recompute_windows", O.behaviors(f"SELECT count(*) AS n, min(ts_us) AS first_us FROM rows_all WHERE ({O.BY_WIN}) IN (SELECT {O.BY_WIN} FROM rows_all WHERE list_contains(log_types, 'notice'))"))
 def affected(spark, d):
     s = session_table(spark, d)
     return B.affected_sessions(s, s.where("has_notice")).agg(F.count("*").alias("n"), F.min(us("ts")).alias("first_us"))

@@ -200,7 +200,7 @@ def _store(spark, d):
     if key not in _STORES:
         raw = raw_logs(spark, d)
         base = f"{ensure_checkpoint_dir(spark)}/session-store-{uuid.uuid4().hex}"
-        store = SessionStore(spark, base, raw.where("log_type = 'x509'"), sections=("conn", "dns", "notice"), updated_at=epoch())
+        store = SessionStore(spark, base, raw.where("log_type = 'x509'"), sections=("conn", "dns", "notice"), buckets=4, updated_at=epoch())
         run_in_parts(spark, base, _parts(spark, d), store.upsert, raw_columns)
         _STORES[key] = store
     return _STORES[key]
@@ -224,17 +224,12 @@ def upsert_counts(spark, d):
     return spark.createDataFrame([(b, n["created"], n["updated"], n["upserted"]) for b, n in sorted(counts.items())], "batch bigint, created bigint, updated bigint, upserted bigint")
 
 
-@query("s15_dry_run", O.prepared(f"SELECT count(*) FILTER (WHERE NOT (b0 OR b2)) AS created, count(*) FILTER (WHERE b0 OR b2) AS updated, count(*) AS upserted FROM {_OF_BATCHES} t WHERE b1"))
+@query("s15_dry_run", O.prepared(f"SELECT count(*) FILTER (WHERE first = 2) AS created, count(*) FILTER (WHERE first < 2) AS updated, count(*) AS upserted FROM {_OF_BATCHES} t WHERE b2"))
 def dry_run(spark, d):
-    """What another run of part 1 would write into a table of parts 0 and 2; nothing is written."""
+    """What the last batch would write into the table as it stood before it; nothing is written."""
     from tidewatch.sources.tables import write_counts
-    raw = raw_logs(spark, d)
-    base = f"{ensure_checkpoint_dir(spark)}/dry-run-{uuid.uuid4().hex}"
-    store = SessionStore(spark, base, raw.where("log_type = 'x509'"), sections=("conn",), updated_at=epoch())
-    part = F.get_json_object("doc", "$.e").cast("bigint") % 3
-    store.upsert(raw.where(part != 1), 0)
-    rows, _ = store.merged(raw.where(part == 1), 1)
-    return write_counts(rows)
+    last = raw_logs(spark, d).where(F.get_json_object("doc", "$.e").cast("bigint") % 3 == 2)
+    return write_counts(_store(spark, d).merged(last, 2)[0])
 
 
 @query("j03_stored_session_join", O.prepared(f"""SELECT key, array_to_string(list_sort(list(DISTINCT log_type)), '|') AS log_types, min(us) AS first_us, max(us) AS last_us FROM prepared

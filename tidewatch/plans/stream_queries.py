@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewatch.operators import rules as R
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
-from tidewatch.plans.views import parsed_lines, session_table
-from tidewatch.session import configure, ensure_checkpoint_dir
+from tidewatch.plans.rule_queries import _R01, _R02, _R03, _greedy, _rule_sql
+from tidewatch.plans.views import epoch, parsed_lines, session_table, us
+from tidewatch.session import configure, ensure_checkpoint_dir, stored as spark_stored
+from tidewatch.settings import DEFAULTS
 from tidewatch.sources.adapters import raw_columns
-from tidewatch.streaming import jobs as J
+from tidewatch.streaming import incremental as I, jobs as J
+from tidewatch.streaming.rule_state import rule_alerts
 
 c = F.col
 
@@ -38,7 +41,6 @@ def micro_batch(spark, d):
     return rows.groupBy("log_type").agg(F.count("*").alias("n"))
 
 
-@query("w02_late_data_watermark", O.raw("SELECT log_type, count(DISTINCT raw_id) AS n FROM raw GROUP BY 1"))
 @query("w03_stream_dedup", O.raw("SELECT log_type, count(DISTINCT raw_id) AS n FROM raw GROUP BY 1"))
 def stream_dedup(spark, d):
     rows = J.new_events(raw_stream(spark, d).select("raw_id", "log_type", "ingest_ts"))
@@ -58,9 +60,94 @@ def failure_isolation(spark, d):
     return J.malformed_counts(parsed_lines(spark, d))
 
 
-@query("w09_progress", O.hardened("SELECT count(*) AS documents_read, max(last_us) AS last_us FROM hard"))
+# ---------------------------------------------------------------- late rows and progress
+
+_PROGRESS: dict[tuple[str, str], tuple[str, I.Progress]] = {}
+
+
+def _late_run(spark, d):
+    """Events in three parts by time, a twentieth of them a part too late, taken in by a restarted stream; made once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _PROGRESS:
+        events = spark.read.parquet(f"{d}/events.parquet")
+        end = events.agg(F.max("event_id")).scalar() + 1
+        part = F.least(F.lit(2), F.floor(c("event_id") * 3 / end) + F.when(c("event_id") % 20 == 3, 1).otherwise(0))
+        base = f"{ensure_checkpoint_dir(spark)}/late-{uuid.uuid4().hex}"
+        state = I.Progress(spark, f"{base}/progress")
+        view = lambda df: raw_columns(df).select("raw_id", "log_type", "ts")
+        I.run_in_parts(spark, base, [events.where(part == i) for i in range(3)], I.split_late(f"{base}/out", state), view)
+        _PROGRESS[key] = (base, state)
+    return _PROGRESS[key]
+
+
+_PARTS = """parts AS (SELECT *, least(2, e * 3 // (m + 1) + CASE WHEN e % 20 = 3 THEN 1 ELSE 0 END) AS part FROM raw, (SELECT max(e) AS m FROM raw) x),
+marks AS (SELECT p.part, max(q.us) AS before_us FROM (SELECT DISTINCT part FROM parts) p LEFT JOIN (SELECT part, max(us) AS us FROM parts GROUP BY part) q ON q.part < p.part GROUP BY p.part),
+judged AS (SELECT parts.*, coalesce(us < before_us - 1800000000, false) AS late FROM parts JOIN marks USING (part))"""
+
+
+@query("w02_late_data_watermark", f"WITH raw AS ({O.RAW}), {_PARTS} SELECT late, log_type, count(*) AS n, count(DISTINCT raw_id) AS ids, min(us) AS first_us, max(us) AS last_us FROM judged GROUP BY 1, 2")
+def late_data(spark, d):
+    base, _ = _late_run(spark, d)
+    rows = spark.read.parquet(f"{base}/out").withColumn("late", c("late").cast("boolean"))
+    return rows.groupBy("late", "log_type").agg(F.count("*").alias("n"), F.count_distinct("raw_id").alias("ids"), F.min(us("ts")).alias("first_us"), F.max(us("ts")).alias("last_us"))
+
+
+@query("w09_progress", f"""WITH raw AS ({O.RAW}), {_PARTS} SELECT CAST(part AS BIGINT) AS batch, count(*) AS documents_read, count(*) FILTER (WHERE NOT late) AS rows_written, count(*) FILTER (WHERE late) AS rows_late,
+    ((SELECT max(us) FROM raw) - max(us)) / 1000000.0 AS lag_seconds, (SELECT max(us) FROM raw) - 1800000000 AS next_start_us FROM judged GROUP BY part""")
 def progress(spark, d):
-    return session_table(spark, d).agg(F.count("*").alias("documents_read"), F.max(F.unix_micros("last_seen")).alias("last_us"))
+    _, state = _late_run(spark, d)
+    newest = state.read().agg(F.max("newest")).scalar()
+    start = state.next_start(DEFAULTS.session_overlap_seconds).select(F.unix_micros("start").alias("next_start_us"))
+    return state.lag(newest).withColumn("next_start_us", start.scalar())
+
+
+# ---------------------------------------------------------------- windows rebuilt as sessions arrive
+
+@query("w05_recompute_windows", O.behaviors(f"""SELECT {O.WIN}, count(*) AS total, count(*) FILTER (WHERE eligible) AS used, count(DISTINCT dst_ip) FILTER (WHERE eligible) AS destinations,
+    CAST(coalesce(sum(coalesce(bytes, 0)) FILTER (WHERE eligible), 0) AS BIGINT) AS bytes FROM rows_all GROUP BY {O.BY_WIN}"""))
+def recompute_windows(spark, d):
+    """Every window gets sessions in each of three batches; some sessions first stand in an earlier window; the last batch runs twice."""
+    s = session_table(spark, d)
+    base = f"{ensure_checkpoint_dir(spark)}/windows-{uuid.uuid4().hex}"
+    store = I.WindowStore(spark, base, ("session_id", "ts"), buckets=4, updated_at=epoch())
+    part = F.pmod(F.xxhash64("session_id"), F.lit(3))
+    early = c("first_seen") - F.make_dt_interval(mins=F.lit(15))
+    moved = s.where((part == 1) & (F.pmod(F.xxhash64("session_id"), F.lit(7)) == 0)).withColumn("first_seen", early)
+    parts = [s.where(part == 0).unionByName(moved), s.where(part == 1), s.where(part == 2)]
+    I.run_in_parts(spark, base, parts, store.rebuild)
+    store.rebuild(parts[2], 2)
+    rows = store.behaviors.read()
+    return rows.select("entity", c("sensor_key").alias("sensor"), us("window_start").alias("window_us"), c("quality.session_count_total").alias("total"),
+                       c("quality.session_count_used").alias("used"), c("features.unique_destination_ip_count").alias("destinations"), c("features.network_bytes_sum").alias("bytes"))
+
+
+# ---------------------------------------------------------------- rules with state
+
+def _stream_alerts(spark, d, rule, pick):
+    """The rule's alerts over sessions in three parts by time; the stream starts again from its state after each."""
+    events = pick(session_table(spark, d)).select("ts", *rule.key, *([rule.value] if rule.value and rule.value not in rule.key else []))
+    events = spark_stored(events, "rule-events")
+    low, high = events.agg(F.min(us("ts")).alias("low"), F.max(us("ts")).alias("high")).first()
+    part = F.floor((us("ts") - (low or 0)) * 3 / ((high or 0) - (low or 0) + 1))
+    base = f"{ensure_checkpoint_dir(spark)}/rule-{uuid.uuid4().hex}"
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+    I.run_in_parts(spark, base, [events.where(part == i) for i in range(3)], write, lambda stream: rule_alerts(stream, rule))
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("w06_vertical_scan_stream", _rule_sql(_R01, "SELECT src_ip, dst_ip, us FROM kept", _greedy("src_ip, dst_ip", 60000000)))
+def vertical_scan_stream(spark, d):
+    return _stream_alerts(spark, d, R.VERTICAL_SCAN, R.scan_sessions).select("src_ip", "dst_ip", "us")
+
+
+@query("w06_horizontal_scan_stream", _rule_sql(_R02, "SELECT src_ip, us FROM kept", _greedy("src_ip", 900000000)))
+def horizontal_scan_stream(spark, d):
+    return _stream_alerts(spark, d, R.HORIZONTAL_SCAN, R.sweep_sessions).select("src_ip", "us")
+
+
+@query("w06_ssh_bruteforce_stream", _rule_sql(_R03, "SELECT src_ip, dst_ip, us FROM kept", _greedy("src_ip, dst_ip", 600000000)))
+def ssh_bruteforce_stream(spark, d):
+    return _stream_alerts(spark, d, R.SSH_BRUTE_FORCE, R.ssh_sessions).select("src_ip", "dst_ip", "us")
 
 
 @query("w07_score_new_only", O.behaviors(f"SELECT count(*) AS n FROM (SELECT count(*) FILTER (WHERE eligible) AS u FROM rows_all GROUP BY {O.BY_WIN}) w WHERE u >= 2 AND u % 2 = 1"))

@@ -147,7 +147,7 @@ def split_late(path: str, progress: Progress, delay_seconds: int = DEFAULTS.sess
         folder = f"{path}/batch={batch_id}"
         watched.write.mode("overwrite").partitionBy("late").parquet(folder)
         if then is not None:
-            then(spark.read.schema(rows.schema).parquet(folder).where(~c("late")).drop("late"), batch_id)
+            then(spark.read.parquet(folder).where(~c("late").cast("boolean")).drop("late"), batch_id)
         progress.record(batch_id, seen.get, watermark)
     return on_batch
 
