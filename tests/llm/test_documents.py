@@ -8,6 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidewatch.llm import chosen_path, components, fertility, hilbert, mixing, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -283,3 +285,26 @@ def test_swaps_take_the_weight_off_group_names():
     _, plain = toxicity.fit(lists, np.array(toxic), [], len(known))
     _, fair = toxicity.fit(lists, np.array(toxic), changes, len(known))
     assert abs(plain[1] - plain[2]) > 0.5 and abs(fair[1] - fair[2]) < 0.1 and fair[0] > 2
+
+
+def test_shard_files_hold_every_row_once_and_can_be_left_out(spark, tmp_path):
+    draw = random.Random(3)
+    rows = [(i, "w " * draw.randint(1, 400), draw.choice("abcdefgh"), 5) for i in range(3000)] + [(None, None, None, 5), (7, "same", "a", 5), (7, "same", "a", 5), (8, "", None, 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, slot int").repartition(6)
+    path = f"file://{tmp_path}/shards"
+    hilbert.write_documents(frame, path, 16)
+    back = spark.read.parquet(path)
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted((tuple(r) for r in back.select("doc_id", "text", "source").collect()), key=key) == sorted((r[:3] for r in rows), key=key)
+    slots = {}
+    for r in back.select("shard", "slot").collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(slots) == 16 and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    edges = back.groupBy(F.input_file_name().alias("file")).agg(*[f(c).alias(f"{n}_{name}") for name, c in (("id", F.col("doc_id")), ("size", size), ("source", F.col("source")))
+                                                                for n, f in (("low", F.min), ("high", F.max))]).collect()
+    assert len(edges) >= 16
+    for low, high, wanted in (("low_id", "high_id", (100, 300)), ("low_size", "high_size", (100, 160)), ("low_source", "high_source", ("c", "c"))):
+        opened = sum(e[low] is not None and e[low] <= wanted[1] and e[high] >= wanted[0] for e in edges)
+        assert opened < 0.75 * len(edges), (low, opened, len(edges))
+    hilbert.write_documents(frame.limit(0), f"file://{tmp_path}/none", 16)

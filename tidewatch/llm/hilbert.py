@@ -88,10 +88,20 @@ def shards(frame: DataFrame, n_shards: int, index: str, *ties: str) -> DataFrame
     return rank.withColumn("shard", shard).withColumn("slot", F.col("__rank") - first).select(*rest, "shard", "slot")
 
 
-def write_shards(frame: DataFrame, sharded: DataFrame, key: str, path: str, n_shards: int) -> None:
-    """The rows of ``frame`` as one folder of files per shard, in slot order; ``sharded`` has ``key``, ``shard`` and ``slot``."""
-    rows = frame.join(sharded.select(key, "shard", "slot"), key)
-    rows.repartitionByRange(n_shards, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """Rows that carry ``shard`` and ``slot``, with all their columns, as one folder of files per shard, each file a run of slots.
+
+    Files follow the curve, so their least and greatest values of every dimension are close and readers leave most files out.
+    """
+    sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def write_documents(frame: DataFrame, path: str, n_shards: int = 16) -> None:
+    """Whole documents in the shards of ``plan``: every row once, null, repeated and equal ones too; own columns ``shard`` and ``slot`` are replaced."""
+    size = F.octet_length(text_of()).cast("long") + 1
+    index = curve(frame, {"source": text_key(frame, "source"), "size": size, "doc_id": F.col("doc_id")})
+    rows = frame.withColumns({"__curve": index, "__crc": F.crc32(text_of().cast("binary"))})
+    write_shards(shards(rows, n_shards, "__curve", "doc_id", "__crc").drop("__curve", "__crc"), path)
 
 
 def plan(frame: DataFrame, n_shards: int = 16) -> DataFrame:
