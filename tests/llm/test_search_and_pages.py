@@ -142,3 +142,16 @@ def test_awkward_pages(spark, model):
     assert texts[1] == "" and texts[2] == "" and texts[8] == TEXT and texts[7].count("\n\n") == 3999
     assert all(r.n_chars == len(r.text) for r in got)
     assert html_text.report(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tag", sorted(html_text.DROPPED))
+def test_a_silent_element_left_open_keeps_the_article(tag):
+    article = "<article class='post'><h1>Title</h1><p>First words of it.</p><p>More of it.</p></article>"
+    texts = lambda page: html_text.blocks(html_text.parse(page))
+    whole = ["Title", "First words of it.", "More of it."]
+    assert texts(f"<html><body><{tag}>x{article}</body></html>") == whole
+    assert texts(f"<html><body><div><{tag}>x</div>{article}</body></html>") == whole
+    assert texts(f"<html><body>{article.replace('<h1>', f'<{tag}>x<h1>')}</body></html>") == whole
+    assert texts(f"<html><head><title>t</title><{tag}>x<body>{article}</body></html>") == whole
+    assert texts(f"<html><body>{article.replace('<h1>', f'<{tag}><p>x</p></{tag}><h1>')}</body></html>") == whole  # ended: all of it goes
+    assert texts(f"<p>one <{tag}>x</{tag}>two <{tag}><i>y</i><p>z</p></{tag}>three</p>") == ["one two three"]

@@ -15,10 +15,11 @@ Extra columns stay in ``extract``; a column named like the result is replaced.
 from __future__ import annotations
 
 import random
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
+from itertools import dropwhile
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ from tidewatch.llm.common import prepare, text_of
 #: Elements of the HTML standard by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = set("script style noscript template head title svg math iframe object canvas textarea select button option datalist audio video map dialog".split())
+#: Silent elements whose content is opaque to the tree; the others are nodes that are taken out of it, so what closes their parent closes them.
+OPAQUE = set("script style title textarea head".split())
+DROPPED = SILENT - OPAQUE
 HEAD_CONTENT = set("base link meta noframes noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 ENDS_P = set("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -52,10 +56,11 @@ FEATURES = [
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "children")
+    __slots__ = ("tag", "names", "parent", "children", "ended", "links")
 
     def __init__(self, tag: str, names: frozenset[str] = frozenset(), parent: Node | None = None):
         self.tag, self.names, self.parent, self.children = tag, names, parent, []
+        self.ended, self.links = False, 0
 
 
 class Page(HTMLParser):
@@ -73,6 +78,8 @@ class Page(HTMLParser):
                 return
             if tag not in HEAD_CONTENT:
                 self.silent.clear()
+        elif self.silent[:1] == ["head"] and tag in ("body", "main", "article"):
+            self.silent.clear()
         if self.silent:
             if tag not in VOID:
                 self.silent.append(tag)
@@ -87,17 +94,21 @@ class Page(HTMLParser):
             if tag in ("br", "hr", "img", "wbr"):
                 self.at.children.append((" ", 0))
             return
-        if tag in SILENT:
+        if tag in OPAQUE:
             self.silent.append(tag)
             return
+        if tag in DROPPED:
+            self._open(tag, attrs)
+            self.at.links = self.links
+            return
         if tag in INLINE:
             self.links += tag == "a"
             return
-        if tag in ENDS_P and self._find({"p"}, set(TAGS) - {"p"}) is not None:
+        if tag in ENDS_P and self._find({"p"}, set(TAGS) - {"p"} | DROPPED) is not None:
             self._close({"p"}, set())
         if tag in CLOSES:
             for name in CLOSES[tag][0]:
-                self._close({name}, CLOSES[tag][1])
+                self._close({name}, CLOSES[tag][1] | DROPPED)
         self.links = 0
         self._open(tag, attrs)
 
@@ -118,7 +129,7 @@ class Page(HTMLParser):
     def _close(self, tags, stop):
         node = self._find(tags, stop)
         if node is not None and node.parent is not None:
-            self.at, self.links = node.parent, 0
+            node.ended, self.at, self.links = True, node.parent, node.links
 
     def handle_endtag(self, tag):
         if self.silent:
@@ -142,6 +153,26 @@ class Page(HTMLParser):
             self.at.children.append((data, self.links))
 
 
+def without_dropped(root: Node) -> Node:
+    """The tree without the dropped elements. One that is never ended loses what stands before its first block; the blocks stay."""
+    stack = [root]
+    while stack:
+        node, kept = stack.pop(), []
+        queue = deque(node.children)
+        while queue:
+            child = queue.popleft()
+            if isinstance(child, Node):
+                if child.tag in DROPPED:
+                    if not child.ended:
+                        queue.extendleft(reversed(list(dropwhile(lambda x: not isinstance(x, Node), child.children))))
+                    continue
+                child.parent = node
+                stack.append(child)
+            kept.append(child)
+        node.children = kept
+    return root
+
+
 def parse(html: str) -> Node:
     """The page's tree. A tag that is cut off at the end is left out."""
     cut = html.rfind("<")
@@ -150,7 +181,7 @@ def parse(html: str) -> Node:
     page = Page()
     page.feed(html)
     page.close()
-    return page.root
+    return without_dropped(page.root)
 
 
 def blocks(root: Node, kept: set[int] | None = None) -> list[str]:
