@@ -251,6 +251,30 @@ class FlatMemo(Memo):
     def _add(self, ids: tuple[np.ndarray, np.ndarray]) -> None:
         self._add_flat(*ids)
 
+    def look_up(self, pieces: list[str]) -> np.ndarray:
+        """As above, with the steps for new pieces done list by list."""
+        if len(self.codes) > self.limit:
+            self._forget()
+        elif self.pieces > len(self.codes):
+            self.pieces = len(self.codes)
+            self.used = int(self.starts[self.pieces - 1] + self.sizes[self.pieces - 1]) if self.pieces else 0
+        codes = np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            words = list(map(pieces.__getitem__, missing.tolist()))
+            new = list(dict.fromkeys(words))
+            long = max(map(len, new)) > self.longest
+            if long:
+                new.sort(key=lambda p: len(p) > self.longest)  # stable: those to remember come first
+            first = self.pieces
+            for at in range(0, len(new), 20_000):
+                self._add(self.encode(new[at:at + 20_000]))
+            found = dict(zip(new, range(first, first + len(new))))
+            codes[missing] = np.fromiter(map(found.__getitem__, words), np.int64, len(words))
+            self.codes.update(((p, c) for p, c in found.items() if len(p) <= self.longest) if long else found)
+        self.met[:self.pieces] += np.bincount(codes, minlength=self.pieces)
+        return codes
+
 
 class WordBpe(ByteBpe):
     """The same ids; new words of letters are encoded by one call of the library for all of a step, without an object per word.
@@ -274,37 +298,34 @@ class WordBpe(ByteBpe):
                 return [names[0][1:], *names[1:]] if not any(space in text for space in ODD) else ["\r" + text]
         return super()._chunks(text)
 
-    def _word(self, name: str) -> str | None:
-        """The name as one piece, if it is a word of letters."""
-        if not name.isalpha():
-            return None
-        return self.space + name if name.isascii() else self._mapped(" " + name) if max(name) <= self.LAST_LETTER else None
-
     @staticmethod
     def _chunk(name: str) -> str:
         return name[1:] if name[:1] == "\r" else name if name[:1] == "\n" else " " + name
 
     def _encode_flat(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        slots, ends = np.zeros(len(names), np.int64), np.full(len(names), -1, np.int64)
+        slots, ends = [0] * len(names), np.full(len(names), -1, np.int64)
         fresh: dict[str, int] = {}
-        known, odd = [], []
+        place, codes_of = fresh.setdefault, self.memo.codes.get
+        known, odd, last = [], [], self.LAST_LETTER
         for i, name in enumerate(names):
-            stop = self.stops.get(name[-1:])
-            base = name if stop is None else name[:-1]
-            piece = self._word(base)
-            if piece is None:
+            if name.isalpha() and (name.isascii() or max(name) <= last):
+                slots[i] = place(name, len(fresh))
+                continue
+            stop, base = self.stops.get(name[-1:]), name[:-1]
+            if stop is None or not base.isalpha() or not (base.isascii() or max(base) <= last):
                 odd.append(i)
                 continue
-            if stop is not None:
-                ends[i] = stop
-                code = self.memo.codes.get(base)
-                if code is not None:  # the word has been met without its stop
-                    known.append((i, code))
-                    continue
-            slots[i] = fresh.setdefault(piece, len(fresh))
+            ends[i] = stop
+            code = codes_of(base)
+            if code is not None:  # the word has been met without its stop
+                known.append((i, code))
+            else:
+                slots[i] = place(base, len(fresh))
+        slots = np.array(slots, np.int64)
         flat = np.zeros(0, np.uint32)
         if fresh:
-            flat = np.array(self.words.encode_batch_fast([list(fresh)], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            pieces = [self.space + word if word.isascii() else self._mapped(" " + word) for word in fresh]
+            flat = np.array(self.words.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
         starts = np.flatnonzero(self.first[flat])
         if len(starts) != len(fresh):
             raise ValueError("a word whose tokens do not show where it begins")
@@ -349,7 +370,7 @@ def json_bpe(data: bytes) -> ByteBpe:
     return ByteBpe(from_json(data), limit=800_000)
 
 
-def word_bpe(data: bytes, limit: int = 800_000) -> WordBpe:
+def word_bpe(data: bytes, limit: int = 1_200_000) -> WordBpe:
     """``json_bpe`` with words by the list; the library's own cache of words is off, as the memo takes its place."""
     from tokenizers import Tokenizer, models
 
