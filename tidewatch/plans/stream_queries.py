@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.operators import rules as R
+from tidewatch.operators.ingest import with_route
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
 from tidewatch.plans.rule_queries import _R01, _R02, _R03, _greedy, _rule_sql
 from tidewatch.plans.views import epoch, parsed_lines, session_table, us
 from tidewatch.session import configure, ensure_checkpoint_dir, stored as spark_stored
 from tidewatch.settings import DEFAULTS
+from tidewatch.sources import logs as L, tables as T
 from tidewatch.sources.adapters import raw_columns
 from tidewatch.streaming import incremental as I, jobs as J
 from tidewatch.streaming.rule_state import rule_alerts
@@ -101,6 +103,49 @@ def progress(spark, d):
     return state.lag(newest).withColumn("next_start_us", start.scalar())
 
 
+# ---------------------------------------------------------------- sinks
+
+_SINKS: dict[tuple[str, str], str] = {}
+
+
+def _sink_run(spark, d):
+    """Routed raw logs of a stream of three batches, the last of them written twice; made once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SINKS:
+        base = f"{ensure_checkpoint_dir(spark)}/sinks-{uuid.uuid4().hex}"
+        parts = [spark.read.parquet(f"{d}/events.parquet").where(c("event_id") % 3 == i) for i in range(3)]
+        view = lambda df: with_route(raw_columns(df))
+        write = lambda batch, number: T.write_routed(batch, base, number)
+        I.run_in_parts(spark, base, parts, write, view)
+        write(view(parts[2]), 2)
+        _SINKS[key] = base
+    return _SINKS[key]
+
+
+@query("s10_routed_sink", O.raw("""SELECT CASE WHEN log_type IN ('smb_files', 'smb_mapping') THEN 'smb' WHEN log_type IN ('conn', 'dns', 'http', 'ssl', 'files', 'weird', 'notice', 'x509', 'ssh', 'ftp', 'ldap') THEN log_type
+    ELSE 'other' END AS route, CAST(make_timestamp(us) AS DATE) AS event_date, count(*) AS n, count(DISTINCT raw_id) AS ids, count(DISTINCT log_type) AS log_types FROM raw GROUP BY 1, 2"""))
+def routed_sink(spark, d):
+    rows = spark.read.parquet(f"{_sink_run(spark, d)}/routed")
+    return rows.groupBy("route", "event_date").agg(F.count("*").alias("n"), F.count_distinct("raw_id").alias("ids"), F.count_distinct("log_type").alias("log_types"))
+
+
+@query("s13_dated_sink", O.raw("SELECT CAST(make_timestamp(us) AS DATE) AS event_date, count(*) AS n, count(DISTINCT raw_id) AS ids, min(us) AS first_us, max(us) AS last_us FROM raw GROUP BY 1"))
+def dated_sink(spark, d):
+    rows = spark.read.parquet(f"{_sink_run(spark, d)}/whole")
+    return rows.groupBy("event_date").agg(F.count("*").alias("n"), F.count_distinct("raw_id").alias("ids"), F.min(us("ts")).alias("first_us"), F.max(us("ts")).alias("last_us"))
+
+
+@query("s03_dead_letter_sink", O.lines("""SELECT DATE '2024-01-01' AS event_date, value AS raw_message, CASE WHEN value = '' THEN 'empty line' ELSE 'not a JSON object' END AS parse_error_reason, count(*) AS n
+    FROM lines WHERE NOT (e % 97 <> 5 AND e % 101 <> 6 AND e % 103 <> 7) GROUP BY 1, 2, 3"""))
+def dead_letter_sink(spark, d):
+    base = f"{ensure_checkpoint_dir(spark)}/dead-{uuid.uuid4().hex}"
+    letters = L.dead_letters(parsed_lines(spark, d))
+    for batch in (0, 1, 1):  # the second batch is written again
+        T.write_dead_letters(letters.where(c("file_offset") % 2 == batch), base, batch, F.to_date(epoch()))
+    rows = spark.read.schema("raw_message string, parse_error_reason string, event_date date, batch int").json(base)
+    return rows.groupBy("event_date", "raw_message", "parse_error_reason").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- windows rebuilt as sessions arrive
 
 @query("w05_recompute_windows", O.behaviors(f"""SELECT {O.WIN}, count(*) AS total, count(*) FILTER (WHERE eligible) AS used, count(DISTINCT dst_ip) FILTER (WHERE eligible) AS destinations,
