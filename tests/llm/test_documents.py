@@ -122,20 +122,58 @@ def test_large_group_is_compared_in_blocks(spark, monkeypatch):
 
 
 def test_recall_of_chosen_paths():
-    """Pairs just above the threshold meet in the expected share of runs, even if every bucket is split to the last level."""
+    """Pairs at the threshold meet at the stated recall, even if every bucket is split to the last level."""
     draw = np.random.default_rng(2)
-    runs, found, n = chosen_path.runs_for(0.999), 0, 300
-    for _ in range(n):
-        common, a, b = draw.integers(0, 1 << 63, 82, dtype=np.uint64), draw.integers(0, 1 << 63, 10, dtype=np.uint64), draw.integers(0, 1 << 63, 10, dtype=np.uint64)
-        x, y = (chosen_path.tokens(np.concatenate([common, o])) for o in (a, b))
-        meets = False
-        for run in range(1, runs + 1):
-            paths = [np.array([chosen_path.mix(np.uint64([run]))[0]], np.uint64)] * 2
-            for _ in range(chosen_path.DEPTH):
-                paths = [chosen_path.children(p, np.broadcast_to(t, (len(p), 128)))[1] for p, t in zip(paths, (x, y))]
-            meets |= bool(np.intersect1d(*paths).size)
-        found += meets
-    assert found >= 0.98 * n
+    runs, n, found = chosen_path.runs_for(0.999), 4000, 0
+    assert chosen_path.recall_of(runs) >= 0.999 > chosen_path.recall_of(runs - 1)
+    for _ in range(3):
+        x = draw.integers(0, 1 << 32, (n, chosen_path.TOKENS), dtype=np.uint32)
+        y = np.where(draw.random(x.shape) < chosen_path.SIMILARITY, x, draw.integers(0, 1 << 32, x.shape, dtype=np.uint32))
+        meets = np.zeros(n, bool)
+        for run in range(runs):
+            roots = chosen_path.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(1000) + np.uint64(run))
+            ends = []
+            for own in (x, y):
+                pairs, paths = np.arange(n), roots
+                for _ in range(chosen_path.DEPTH):
+                    rows, paths = chosen_path.children(paths, own[pairs])
+                    pairs = pairs[rows]
+                ends.append(paths)
+                owner = pairs
+            meets[owner[np.isin(ends[1], ends[0])]] = True
+        found += meets.sum()
+    assert found >= (0.999 - 3 * (0.001 / (3 * n)) ** 0.5) * 3 * n
+
+
+def test_repeated_rows_bring_their_text_once(spark):
+    """10,000 equal rows of one document, some near copies, and rows without id: links count all of them, one stays, and no unit of
+    work gets more than one row of a text."""
+    draw = random.Random(12)
+    base = words(draw, 60, 4000)
+    near = [" ".join(base[:i] + ["other"] + base[i + 1:]) for i in (0, 59)]
+    frame = spark.range(10_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(" ".join(base)).alias("text"), F.lit("x").alias("__row")).unionByName(
+        spark.createDataFrame([(8, near[0], "y"), (None, near[1], None), (None, near[1], None), (None, "", None), (None, None, None)], "doc_id long, text string, __row string"))
+    got = collections.Counter(tuple(r) for r in chosen_path.report(frame).select("doc_id", "class_id", "n_links").collect())
+    assert got == {(7, 7, 10_002): 10_000, (8, 7, 10_002): 1, (None, 7, 10_002): 2, (None, None, 0): 2}
+    kept = chosen_path.filtered(frame)
+    same_columns(frame, kept)
+    assert sorted((r.doc_id or 0, r.text or "", r["__row"] or "") for r in kept.collect()) == [(0, "", ""), (0, "", ""), (7, " ".join(base), "x")]
+    rows = chosen_path.prepared(frame)
+    distinct = chosen_path.distinct_sets(chosen_path.sets(frame))
+    assert distinct.agg(F.sum("copies")).first()[0] == 10_003 and distinct.count() == 3
+    assert chosen_path.one_of_equal(rows).count() == 4  # empty and null texts without id are equal
+
+
+def test_family_below_the_threshold_is_split(spark):
+    """Sets of similarity about 0.6 leave each other: a set meets few of its family in the buckets that are compared, and links none."""
+    draw = np.random.default_rng(5)
+    n, x = 3000, draw.integers(0, 1 << 32, chosen_path.TOKENS, dtype=np.uint32)
+    own = np.where(draw.random((n, chosen_path.TOKENS)) < 0.77, x, draw.integers(0, 1 << 32, (n, chosen_path.TOKENS), dtype=np.uint32))  # 0.77^2 = 0.6
+    distinct = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(own)], "id long, tokens binary")
+    found = chosen_path.buckets(distinct)
+    pairs = found.select("path", "size").distinct().agg(F.sum(F.expr("size * (size - 1) / 2"))).first()[0]
+    runs = chosen_path.runs_for(chosen_path.RECALL)
+    assert pairs < 0.35 * runs * n * (n - 1) / 2
 
 
 def brute_quality(text):

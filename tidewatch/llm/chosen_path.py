@@ -2,14 +2,14 @@
 
 Sets become 128 min-wise tokens, two sets sharing each with a chance of their similarity. In every run a set walks down a tree: a
 node draws one token position, and a second with a chance of 1 / similarity - 1, and a set goes to the child of its own token there, so that
-a pair at the threshold is expected to share one child per level. A bucket is left alone once it is small, when a split no
-longer parts it (its sets are alike), or at the last depth; a pair is found when it meets in such a bucket in any run, and runs are repeated
-to the target recall. Buckets are compared by sketches, and what looks alike is joined to groups by connected components.
+a pair at the threshold is expected to share one child per level. A bucket is left alone once it is small, when a split keeps as large a share
+of it as sets at the threshold would keep, or at the last depth; a pair is found when it meets in such a bucket in any run, and runs are
+repeated to the target recall, counted over all numbers of tokens that a pair at the threshold may share. Buckets are compared by sketches, and what looks alike is joined to groups by connected components.
 Within a group all pairs are then compared exactly on the shingles of the whole texts; groups beyond a block are compared block by block.
 
 Exact copies (texts of one shingle set) are one set with a count. No pairs are written: a task returns each set's number of links and its
 root there. Texts of fewer than five words have one shingle, of all their words; texts without words, and null ones, have no partner.
-Repeated rows are copies of each other. A null doc_id is a document like others; a class is named by the least doc_id in it that is not null.
+Repeated rows are copies of each other, and one of them brings the text. A null doc_id is a document like others; a class is named by the least doc_id in it that is not null.
 An empty table gives an empty result. Extra columns pass through ``filtered``.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.common import prepare, stored, text_of
 from tidewatch.llm.components import components
@@ -30,7 +30,7 @@ from tidewatch.llm.vocab import unload
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 TOKENS = 128
 #: Largest bucket that is compared at once, deepest level, and share of its parent from which a bucket counts as alike.
-SMALL, DEPTH, ALIKE = 64, 8, 0.5
+SMALL, DEPTH, ALIKE = 64, 8, 0.8
 #: Share of equal sketch bytes from which two sets are grouped: four standard errors below the threshold.
 SKETCH = 0.66
 #: Sets in a block of a large bucket, and of a large group.
@@ -73,17 +73,30 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.bitwise_xor.reduce(p).astype(np.int64)) if i else int(p.sum(dtype=np.uint64).astype(np.int64)) for i, p in enumerate(parts))
 
 
-def survival(similarity: float, depth: int) -> float:
-    """Chance that a pair at the threshold shares a bucket of the last level in one run."""
-    second, alive = 1 / similarity - 1, 1.0
+def survival(agreement: float, depth: int = DEPTH, similarity: float = SIMILARITY) -> float:
+    """Chance that two sets that share this part of their tokens meet in a bucket of the last level in one run."""
+    second, alive = (1 / similarity - 1) * (1 - 1 / TOKENS), 1.0  # a second draw of the same position counts once
     for _ in range(depth):
-        lost = 1 - similarity * alive
+        lost = 1 - agreement * alive
         alive = 1 - (1 - second) * lost - second * lost * lost
     return alive
 
 
+def recall_of(runs: int, similarity: float = SIMILARITY, depth: int = DEPTH) -> float:
+    """Chance that a pair at the threshold meets in any run.
+
+    Runs draw from the same tokens, so they are independent only once the number of shared tokens is known; that number is binomial.
+    """
+    chance = lambda k: math.comb(TOKENS, k) * similarity**k * (1 - similarity) ** (TOKENS - k)
+    return 1 - sum(chance(k) * (1 - survival(k / TOKENS, depth, similarity)) ** runs for k in range(TOKENS + 1))
+
+
 def runs_for(recall: float, similarity: float = SIMILARITY, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth)))
+    """The fewest runs of that recall."""
+    runs = 1
+    while recall_of(runs, similarity, depth) < recall:
+        runs += 1
+    return runs
 
 
 def children(paths: np.ndarray, own: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
@@ -103,30 +116,36 @@ def _matrix(column: pa.Array, type_, width: int) -> np.ndarray:
 
 
 def sets(frame: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document ``doc_id``, ``row`` (a hash of doc_id and text), ``k1``, ``k2`` (the name of its set), ``n`` and ``tokens``; stored."""
+    """Per document ``doc_id``, ``row`` and ``check`` (hashes of doc_id and text), ``k1``, ``k2`` (the name of its set), ``n`` and ``tokens``; stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unload()
         for batch in batches:
-            found = [shingles(t) for t in batch.column(2).to_pylist()]
+            found = [shingles(t) for t in batch.column(3).to_pylist()]
             keys = [set_key(f) for f in found]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                batch.column(0), batch.column(1), batch.column(2), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                 pa.array([len(f) for f in found], pa.int64()), pa.array([tokens(f).tobytes() if len(f) else None for f in found], pa.binary()),
-            ], ["doc_id", "row", "k1", "k2", "n", "tokens"])
+            ], ["doc_id", "row", "check", "k1", "k2", "n", "tokens"])
 
-    rows = prepared(frame, doc_id, text).select("doc_id", "row", "text")
-    return stored(rows.mapInArrow(run, "doc_id bigint, row bigint, k1 bigint, k2 bigint, n bigint, tokens binary"), "sets")
+    rows = prepared(frame, doc_id, text).select("doc_id", "row", "check", "text")
+    return stored(rows.mapInArrow(run, "doc_id bigint, row bigint, check bigint, k1 bigint, k2 bigint, n bigint, tokens binary"), "sets")
 
 
 def prepared(frame: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     prepare(frame.sparkSession)
-    return frame.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(doc_id).cast("bigint"), text_of(text)).alias("row"), text_of(text).alias("text"))
+    return frame.select(F.col(doc_id).cast("bigint").alias("doc_id"), *row_hashes(doc_id, text), text_of(text).alias("text"))
+
+
+def row_hashes(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """128 bits that equal rows share, as ``row`` and ``check``."""
+    number = F.col(doc_id).cast("bigint")
+    return [F.xxhash64(number, text_of(text)).alias("row"), F.xxhash64(F.lit(1), text_of(text), number).alias("check")]
 
 
 def distinct_sets(sets_: DataFrame) -> DataFrame:
-    """One row per set: ``id``, its name, ``copies``, the least doc_id and the ``row`` of one document, ``tokens``; stored."""
-    some = sets_.where("n > 0").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "row")).alias("one"), F.first("tokens").alias("tokens"))
-    return stored(some.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "copies", "least_doc", F.col("one.row").alias("row"), "tokens"), "distinct-sets")
+    """One row per set: ``id``, its name, ``copies``, the least doc_id, ``row`` and ``check`` of one document, ``tokens``; stored."""
+    some = sets_.where("n > 0").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "row", "check")).alias("one"), F.first("tokens").alias("tokens"))
+    return stored(some.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "copies", "least_doc", "one.row", "one.check", "tokens"), "distinct-sets")
 
 
 def _walk(starts: np.ndarray | None) -> Callable:
@@ -294,10 +313,6 @@ def _compare(similarity: float) -> Callable:
                 found = [shingles(t) for t in unit.column("text").to_pylist()]
                 names = [set_key(f) for f in found]
                 true = np.array([k == (a, b) for k, a, b in zip(names, unit.column("k1").to_pylist(), unit.column("k2").to_pylist())])
-                seen: set[int] = set()
-                for i in np.flatnonzero(true):  # equal rows of one document bring a set twice
-                    true[i] = ids[i] not in seen
-                    seen.add(ids[i])
                 left, right = (np.flatnonzero(true & (own == side)) for side in (first, second))
                 if not len(left) or not len(right):
                     continue
@@ -321,12 +336,17 @@ def _compare(similarity: float) -> Callable:
     return run
 
 
+def one_of_equal(rows: DataFrame) -> DataFrame:
+    """Equal rows become one where they are read, so that a row repeated a million times is shipped once by each task."""
+    return rows.groupBy("row", "check").agg(F.first("text").alias("text"))
+
+
 def links(frame: DataFrame, distinct: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Per set with links ``id``, ``links`` (documents of other sets at or above the similarity), and ``id``, ``root`` of its class; stored."""
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    wanted = stored(grouped.join(sizes, "root").join(distinct.drop("tokens"), F.col("node") == F.col("id")).select("id", "root", "size", "row", "k1", "k2", "copies"), "wanted")
+    wanted = stored(grouped.join(sizes, "root").join(distinct.drop("tokens"), F.col("node") == F.col("id")).select("id", "root", "size", "row", "check", "k1", "k2", "copies"), "wanted")
     # Both sides are always dealt out by row: the wanted rows grow with the documents, so they are not to be broadcast at any size.
-    texts = frame.select("row", "text").join(wanted.hint("shuffle_merge"), "row").withColumn("blocks", F.ceil(F.col("size") / GROUP_BLOCK).cast("int"))
+    texts = one_of_equal(frame).join(wanted.hint("shuffle_merge"), ["row", "check"]).withColumn("blocks", F.ceil(F.col("size") / GROUP_BLOCK).cast("int"))
     units = in_blocks(texts, "root", "size", GROUP_BLOCK).select("unit", "id", "own", "first", "second", "copies", "k1", "k2", "blocks", "text")
     compared = stored(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_compare(similarity), "id bigint, links bigint, root bigint, open boolean"), "compared")
     counts = compared.groupBy("id").agg(F.sum("links").alias("links"))
@@ -337,16 +357,16 @@ def links(frame: DataFrame, distinct: DataFrame, grouped: DataFrame, similarity:
 
 
 def joined(frame: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """The documents' sets, and per set ``k1``, ``k2``, ``class_id``, ``keeper`` (row of the class's first document), ``n_links``."""
+    """The documents' sets, and per set ``k1``, ``k2``, ``class_id``, ``row`` and ``check`` of the class's first document, ``n_links``."""
     rows = prepared(frame)
     sets_ = sets(frame)
     distinct = distinct_sets(sets_)
     counts, classes = links(rows, distinct, stored(groups(distinct, recall), "groups"), similarity)
-    named = distinct.select("id", "k1", "k2", "copies", "least_doc", "row").join(counts, "id", "left").join(classes, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = distinct.select("id", "k1", "k2", "copies", "least_doc", "row", "check").join(counts, "id", "left").join(classes, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = stored(named, "named")
-    first = F.min(F.struct(F.coalesce("least_doc", F.lit((1 << 63) - 1)), "row"))
-    heads = named.groupBy("root").agg(F.min("least_doc").alias("class_id"), first.alias("first")).select("root", "class_id", F.col("first.row").alias("keeper"))
-    per_set = named.join(heads, "root").select("k1", "k2", "class_id", "keeper", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    first = F.min(F.struct(F.coalesce("least_doc", F.lit((1 << 63) - 1)), "row", "check"))
+    heads = named.groupBy("root").agg(F.min("least_doc").alias("class_id"), first.alias("first")).select("root", "class_id", "first.row", "first.check")
+    per_set = named.drop("row", "check").join(heads, "root").select("k1", "k2", "class_id", "row", "check", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return sets_, stored(per_set, "per-set")
 
 
@@ -358,13 +378,18 @@ def report(frame: DataFrame) -> DataFrame:
 
 
 def filtered(frame: DataFrame) -> DataFrame:
-    """One document of each class, the one of the least doc_id, with the columns of ``frame``; texts without words all stay."""
-    sets_, per_set = joined(frame.select("doc_id", "text"))
-    kept = per_set.select(F.col("keeper").alias("__keep")).distinct().unionByName(sets_.where("n = 0").select(F.col("row").alias("__keep")).distinct())
-    rows = frame.withColumn("__row", F.xxhash64(F.col("doc_id").cast("bigint"), text_of())).join(kept.hint("shuffle_merge"), F.col("__row") == F.col("__keep"))
-    again = Window.partitionBy("__row").orderBy("__row")  # equal rows share their hash
-    once = rows.withColumn("__nth", F.row_number().over(again)).where((F.col("__nth") == 1) | ~text_of().rlike(r"[^\x20\x09-\x0D]"))
-    return once.select(*[F.col(f"`{c}`") for c in frame.columns])
+    """One document of each class, the one of the least doc_id, with the columns of ``frame``; texts without words all stay.
+
+    Of equal rows the first that is met stays. They become one where they are read, so that no task gets all of them.
+    """
+    _, per_set = joined(frame.select("doc_id", "text"))
+    keepers = per_set.select(F.col("row").alias("__row"), F.col("check").alias("__check")).distinct()
+    row, check = row_hashes()
+    worded = text_of().rlike(r"[^\x20\x09-\x0D]")
+    whole = F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("__whole")
+    once = frame.where(worded).select(row.alias("__row"), check.alias("__check"), whole).groupBy("__row", "__check").agg(F.first("__whole").alias("__whole"))
+    kept = once.join(keepers.hint("shuffle_merge"), ["__row", "__check"], "left_semi").select("__whole.*")
+    return kept.unionByName(frame.where(~worded))
 
 
 REPORT_SQL = r"""
