@@ -33,20 +33,57 @@ def test_top_k_equals_brute_force(spark):
     assert kd_search.every_nth(frame.limit(0)).count() == 0
 
 
+def test_shards_with_repeated_ids_ties_and_clashing_columns(spark):
+    """One vector and one id fill a third of the rows; shards stay small and results whole."""
+    draw = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in draw.normal(0, 0.3, 4)]) for i in range(600)]
+    rows += [(700, [0.5, 0.5, 0.5, 0.5])] * 400 + [(None, [0.1] * 4)] * 50
+    frame = spark.createDataFrame([(i, v, "a", 2, 3) for i, v in rows], "vec_id long, embedding array<double>, id string, q int, space int")
+    small = kd_search.quantised(frame).persist()
+    queries = small.where("id % 50 = 0 and id < 700").unionByName(small.where("id = 700").limit(1))
+    got = sorted(map(tuple, kd_search.top_k(small, queries, 5, 64, 7).select("query_id", "rank", "id", "score").collect()))
+    assert got == sorted(set(brute(rows, 5)))
+    trees = kd_search.spaces(small, small.count(), 64)
+    sizes = [len(r.ids) // 8 for r in kd_search.shards(small, trees, 64).select("ids").collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 110 and len(sizes) > 10
+
+
+def test_best_first_opens_few_leaves():
+    """In few dimensions most leaves are never opened, and a kth score from elsewhere closes a whole shard."""
+    draw = np.random.default_rng(6)
+    points, ids = draw.integers(-1000, 1000, (8192, 2)), np.arange(8192)
+    tree = kd_search.build(points, 64)
+    queries = draw.integers(-1000, 1000, (40, 2))
+    best, found, opened = kd_search.search(tree, ids[tree.order], points[tree.order], np.full(40, -1), queries, np.full(40, kd_search.NONE), 5)
+    scores = queries @ points.T
+    for q in range(40):
+        want = sorted(zip(-scores[q], ids))[:5]
+        assert list(zip(-best[q], found[q])) == want
+    assert opened.mean() < 8 and opened.max() < 40
+    _, _, none = kd_search.search(tree, ids[tree.order], points[tree.order], np.full(40, -1), queries, scores.max(axis=1) + 10**7, 5)
+    assert none.sum() == 0
+
+
 def test_boxes_are_tight_and_leaves_small():
     points = np.random.default_rng(2).integers(-50, 50, (1000, 5))
-    leaves, low, high = kd_search.build(points, 64)
-    assert sorted(np.concatenate(leaves)) == list(range(1000)) and max(map(len, leaves)) <= 64
-    for rows, a, b in zip(leaves, low, high):
-        assert (points[rows].min(axis=0) == a).all() and (points[rows].max(axis=0) == b).all()
-    same, _, _ = kd_search.build(np.zeros((300, 5), int), 64)
-    assert max(map(len, same)) <= 64
+    tree = kd_search.build(points, 64)
+    leaves = np.flatnonzero(tree.child < 0)
+    rows = [tree.order[tree.start[i]:tree.end[i]] for i in leaves]
+    assert sorted(np.concatenate(rows)) == list(range(1000)) and max(map(len, rows)) <= 64
+    for i, child in enumerate(tree.child):
+        own = points[tree.order[tree.start[i]:tree.end[i]]]
+        assert (own.min(axis=0) == tree.low[i]).all() and (own.max(axis=0) == tree.high[i]).all()
+        if child >= 0:
+            assert (tree.start[i], tree.end[child], tree.end[i]) == (tree.start[child], tree.start[child + 1], tree.end[child + 1])
+    same = kd_search.build(np.zeros((300, 5), int), 64)
+    assert max(same.end[same.child < 0] - same.start[same.child < 0]) <= 64
 
 
 def test_large_components_stay_exact():
     draw = np.random.default_rng(3)
     points, ids = draw.integers(-(1 << 28), 1 << 28, (50, 4)), np.arange(50)
-    best, found = kd_search.search(ids, points, ids[:3], points[:3], np.full(3, kd_search.NONE), 4, leaf=8)
+    tree = kd_search.build(points, 8)
+    best, found, _ = kd_search.search(tree, ids[tree.order], points[tree.order], ids[:3], points[:3], np.full(3, kd_search.NONE), 4)
     for q in range(3):
         want = sorted((-int(sum(int(a) * int(b) for a, b in zip(points[q], points[i]))), i) for i in range(50) if i != q)[:4]
         assert list(zip(-best[q], found[q])) == want
