@@ -164,18 +164,6 @@ def test_repeated_rows_bring_their_text_once(spark):
     assert chosen_path.one_of_equal(rows).count() == 4  # empty and null texts without id are equal
 
 
-def test_family_below_the_threshold_is_split(spark):
-    """Sets of similarity about 0.6 leave each other: a set meets few of its family in the buckets that are compared, and links none."""
-    draw = np.random.default_rng(5)
-    n, x = 3000, draw.integers(0, 1 << 32, chosen_path.TOKENS, dtype=np.uint32)
-    own = np.where(draw.random((n, chosen_path.TOKENS)) < 0.77, x, draw.integers(0, 1 << 32, (n, chosen_path.TOKENS), dtype=np.uint32))  # 0.77^2 = 0.6
-    distinct = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(own)], "id long, tokens binary")
-    found = chosen_path.buckets(distinct)
-    pairs = found.select("path", "size").distinct().agg(F.sum(F.expr("size * (size - 1) / 2"))).first()[0]
-    runs = chosen_path.runs_for(chosen_path.RECALL)
-    assert pairs < 0.35 * runs * n * (n - 1) / 2
-
-
 def brute_quality(text):
     w = WORD.findall(text or "")
     times = collections.Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))

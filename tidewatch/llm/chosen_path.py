@@ -2,8 +2,8 @@
 
 Sets become 128 min-wise tokens, two sets sharing each with a chance of their similarity. In every run a set walks down a tree: a
 node draws one token position, and a second with a chance of 1 / similarity - 1, and a set goes to the child of its own token there, so that
-a pair at the threshold is expected to share one child per level. A bucket is left alone once it is small, when a split keeps as large a share
-of it as sets at the threshold would keep, or at the last depth; a pair is found when it meets in such a bucket in any run, and runs are
+a pair at the threshold is expected to share one child per level. A bucket is left alone once it is small, when a split
+keeps more than half of it (its sets are alike), or at the last depth; a pair is found when it meets in such a bucket in any run, and runs are
 repeated to the target recall, counted over all numbers of tokens that a pair at the threshold may share. Buckets are compared by sketches, and what looks alike is joined to groups by connected components.
 Within a group all pairs are then compared exactly on the shingles of the whole texts; groups beyond a block are compared block by block.
 
@@ -30,7 +30,7 @@ from tidewatch.llm.vocab import unload
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 TOKENS = 128
 #: Largest bucket that is compared at once, deepest level, and share of its parent from which a bucket counts as alike.
-SMALL, DEPTH, ALIKE = 64, 8, 0.8
+SMALL, DEPTH, ALIKE = 64, 8, 0.5
 #: Share of equal sketch bytes from which two sets are grouped: four standard errors below the threshold.
 SKETCH = 0.66
 #: Sets in a block of a large bucket, and of a large group.
