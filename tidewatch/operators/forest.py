@@ -8,11 +8,14 @@ data ever brought to the driver, to ship it to the scoring tasks).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewatch.operators.quantiles import exact_quantiles
+from tidewatch.session import stored
 from tidewatch.settings import DEFAULTS, FeatureSpec, Settings
 
 c = F.col
@@ -48,9 +51,8 @@ def feature_matrix(behaviors: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def robust_baseline(matrix: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """(pos, feature, median, spread): exact percentiles, one row per feature; zero spread becomes 1."""
-    long = matrix.select(F.posexplode("x").alias("pos", "v"))
-    q = long.groupBy("pos").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q"))
+    """(pos, feature, median, spread): exact percentiles, one row per feature; zero spread becomes 1.  Starts jobs."""
+    q = exact_quantiles(matrix.select(F.posexplode("x").alias("pos", "v")), "pos", "v", (0.1, 0.5, 0.9))
     names = F.array(*[F.lit(n) for n in spec.vector])
     spread = c("q")[2] - c("q")[0]
     return q.select("pos", F.get(names, c("pos")).alias("feature"), c("q")[1].alias("median"),
@@ -237,16 +239,40 @@ def unscored(behaviors: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         & ~F.coalesce(c("ml.scoring_status") == "scored", F.lit(False)))
 
 
-def score_behaviors(current: DataFrame, training: DataFrame, spec: FeatureSpec, settings: Settings = DEFAULTS) -> DataFrame:
-    """Train on ``training`` and score ``current``.  Reading the row count and the nodes starts Spark jobs."""
-    matrix = feature_matrix(training, spec).cache()
+@dataclass(frozen=True)
+class Model:
+    """``nodes`` and ``baseline`` are stored tables; both are bounded by the settings."""
+
+    nodes: DataFrame
+    baseline: DataFrame
+    cutoff: float
+    training_rows: int
+    number: int = 0
+
+
+def fit(training: DataFrame, spec: FeatureSpec, settings: Settings = DEFAULTS) -> Model | None:
+    """A model of the training rows, or None where they are too few.  Starts jobs."""
+    matrix = stored(feature_matrix(training, spec), "matrix")
     n = matrix.count()
     if n < settings.min_training_rows:
-        return with_status(current, "not_enough_training_data")
-    baseline = robust_baseline(matrix, spec)
+        return None
+    baseline = stored(robust_baseline(matrix, spec), "baseline")
     fitted = scaled(matrix, baseline)
-    score = score_function(train_forest(fitted, settings), min(settings.sample_size, n))
-    cutoff = fitted.select(score("x").alias("s")).agg(F.percentile("s", F.lit(1.0 - settings.contamination))).first()[0]
-    medians = [r.median for r in baseline.orderBy("pos").select("median").collect()]  # one value per feature
-    raw = scaled(feature_matrix(current, spec), baseline).select("behavior_id", score("x").alias("raw"))
-    return apply_scores(current, raw, F.lit(cutoff), F.array(*[F.lit(float(m)) for m in medians]), spec)
+    nodes = stored(train_forest(fitted, settings), "nodes")
+    scores = stored(fitted.select(F.lit(0).alias("k"), score_function(nodes, min(settings.sample_size, n))("x").alias("s")), "training-scores")
+    cutoff = exact_quantiles(scores, "k", "s", (1.0 - settings.contamination,)).first().q[0]
+    return Model(nodes, baseline, cutoff, n)
+
+
+def score_with(model: Model, current: DataFrame, spec: FeatureSpec, settings: Settings = DEFAULTS, scored_at: Column | None = None) -> DataFrame:
+    """``current`` with the model's scores on its ready rows."""
+    medians = [r.median for r in model.baseline.orderBy("pos").select("median").collect()]  # one value per feature
+    score = score_function(model.nodes, min(settings.sample_size, model.training_rows))
+    raw = scaled(feature_matrix(current, spec), model.baseline).select("behavior_id", score("x").alias("raw"))
+    return apply_scores(current, raw, F.lit(model.cutoff), F.array(*[F.lit(float(m)) for m in medians]), spec, scored_at)
+
+
+def score_behaviors(current: DataFrame, training: DataFrame, spec: FeatureSpec, settings: Settings = DEFAULTS) -> DataFrame:
+    """Train on ``training`` and score ``current``."""
+    model = fit(training, spec, settings)
+    return with_status(current, "not_enough_training_data") if model is None else score_with(model, current, spec, settings)

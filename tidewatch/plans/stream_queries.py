@@ -7,17 +7,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.operators import rules as R
+from tidewatch.operators.forest import training_rows
 from tidewatch.operators.ingest import with_route
 from tidewatch.plans import oracle as O
 from tidewatch.plans.catalog import query
 from tidewatch.plans.rule_queries import _R01, _R02, _R03, _greedy, _rule_sql
-from tidewatch.plans.views import epoch, parsed_lines, session_table, us
+from tidewatch.plans.views import behavior_table, epoch, parsed_lines, session_table, us
 from tidewatch.session import configure, ensure_checkpoint_dir, stored as spark_stored
 from tidewatch.settings import DEFAULTS
 from tidewatch.sources import logs as L, tables as T
 from tidewatch.sources.adapters import raw_columns
 from tidewatch.streaming import incremental as I, jobs as J
 from tidewatch.streaming.rule_state import rule_alerts
+from tidewatch.streaming.scoring import ModelStore, ScoreStore
 
 c = F.col
 
@@ -204,6 +206,54 @@ def score_new_only(spark, d):
     return unscored(b).agg(F.count("*").alias("n"))
 
 
+# ---------------------------------------------------------------- scores of new and changed rows
+
+_SCORES: dict[tuple[str, str], ScoreStore] = {}
+_HOURS = (0, 1, 7)
+
+
+def _score_run(spark, d) -> ScoreStore:
+    """Behaviours in three batches: a third of them; all, some with other vectors; all, others with other vectors and the model too old.
+
+    The last batch runs twice. Made once per application.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SCORES:
+        b = behavior_table(spark, d)
+        total = c("quality.session_count_total")
+        moved = lambda rows, hit, by: rows.withColumn("ml", F.when(hit, c("ml").withField("feature_vector", F.transform("ml.feature_vector", lambda v: v + by))).otherwise(c("ml")))
+        second = moved(b, total % 4 == 1, 1)
+        parts = [b.where(total % 3 == 0), second, moved(second, total % 5 == 0, 10)]
+        base = f"{ensure_checkpoint_dir(spark)}/scores-{uuid.uuid4().hex}"
+        store = ScoreStore(ModelStore(spark, f"{base}/models"), f"{base}/scores", buckets=4)
+        as_of = lambda number: epoch() + F.make_dt_interval(hours=F.lit(_HOURS[number]))
+        score = lambda batch, number: store.score(batch, number, lambda: training_rows(b), as_of(number))
+        I.run_in_parts(spark, base, parts, score)
+        score(parts[2], 2)
+        _SCORES[key] = store
+    return _SCORES[key]
+
+
+_SCORED = f"""scored AS (SELECT *, CASE WHEN total % 5 = 0 THEN 2 ELSE 1 END AS model, CASE WHEN total % 5 = 0 THEN 2 WHEN total % 3 = 0 AND total % 4 <> 1 THEN 0 ELSE 1 END AS batch FROM (
+    SELECT 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id, count(*) FILTER (WHERE eligible) AS used, count(*) AS total
+    FROM rows_all GROUP BY {O.BY_WIN}) t WHERE used >= 2)"""
+
+
+@query("w07_scored_batches", f"WITH {O.BEH}, {_SCORED} SELECT behavior_id, model, batch, true AS in_range FROM scored")
+def scored_batches(spark, d):
+    rows = _score_run(spark, d).scores.read()
+    in_range = (c("ml.scoring_status") == "scored") & c("ml.anomaly_score").between(0.5, 0.732) & (c("score.final") == F.round(c("ml.anomaly_score") * 100, 2))
+    return rows.select("behavior_id", "model", c("scored_batch").alias("batch"), in_range.alias("in_range"))
+
+
+@query("k08_model_versions", f"""WITH {O.BEH}, {_SCORED} SELECT model AS number, 1704067200000000 + CASE model WHEN 2 THEN 7 ELSE 0 END * 3600000000 AS trained_us, (SELECT count(*) FROM scored) AS training_rows,
+    count(*) AS current_scores FROM scored GROUP BY model""")
+def model_versions(spark, d):
+    store = _score_run(spark, d)
+    current = store.scores.read().groupBy(c("model").alias("number")).agg(F.count("*").alias("current_scores"))
+    return store.models.versions().join(current, "number").select("number", us("trained_at").alias("trained_us"), "training_rows", "current_scores")
+
+
 @query("s16_job_checkpoint", O.hardened("SELECT 'sessions' AS job, max(last_us) - 1800000000 AS start_us, max(last_us) + 60000000 AS end_us FROM hard"))
 def job_checkpoint(spark, d):
     from tidewatch.settings import DEFAULTS
