@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import findings as FI, forest as K
 from tidewatch.plans import oracle as O
+from tidewatch.plans.behavior_queries import _DNS, _FILES, _NW, _SSH, _TLS
 from tidewatch.plans.catalog import query
 from tidewatch.plans.views import behavior_table, epoch, joined, raw_table, session_table, stored, us
 from tidewatch.settings import ASSET_15M, DEFAULTS
@@ -89,20 +90,44 @@ def staleness(spark, d):
     return raw_table(spark, d).groupBy("raw_id", stale.alias("stale")).agg(F.count("*").alias("n"))
 
 
-@query("k09_security_indicators", _sql("SELECT behavior_id, ports >= 100 AS many_ports FROM w"))
+_COUNTED = """SELECT 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id,
+    count(*) FILTER (WHERE q.qtype_name = 'TXT') AS txt, count(*) FILTER (WHERE length(q.query) >= 80) AS long_names,
+    coalesce(round(count(*) FILTER (WHERE q.rcode_name = 'NXDOMAIN') / nullif(count(q.key), 0), 6), 0.0) AS missing_names, count(q.key) AS names,
+    count(sh.key) AS ssh, coalesce(sum(sh.tries), 0) AS tries, count(DISTINCT used.dst_port) AS used_ports,
+    coalesce(sum(CASE WHEN nw.n THEN greatest(1, nw.notes) END), 0) AS notices, coalesce(sum(CASE WHEN nw.w THEN greatest(1, nw.weirds) END), 0) AS weirds,
+    count(*) FILTER (WHERE t.validation_status <> 'ok') AS invalid,
+    count(*) FILTER (WHERE t.key IS NOT NULL AND (t.validation_status LIKE '%self%' OR coalesce(list_has_any(issuers, subjects), false))) AS self_signed,
+    count(*) FILTER (WHERE t.key IS NOT NULL AND (t.validation_status LIKE '%expired%' OR oldest < first_us / 1000000.0)) AS expired, coalesce(sum(fl.size), 0) AS file_bytes
+    FROM used LEFT JOIN dns q ON q.key = used.key LEFT JOIN sh ON sh.key = used.key LEFT JOIN nw ON nw.key = used.key LEFT JOIN tl t ON t.key = used.key
+    LEFT JOIN xf ON xf.key = used.key LEFT JOIN fl ON fl.key = used.key GROUP BY entity, sensor_key, window_us"""
+_SHOWN = (
+    ("dns_txt_queries", "txt > 0"), ("long_dns_queries", "long_names > 0"), ("high_dns_nxdomain_ratio", "missing_names >= 0.5 AND names >= 20"), ("ssh_activity_burst", "ssh >= 10"),
+    ("ssh_auth_attempt_burst", "tries >= 10"), ("many_destination_ports", "used_ports >= 100"), ("zeek_notice_present", "notices > 0"), ("zeek_weird_present", "weirds > 0"),
+    ("tls_invalid_cert", "invalid > 0"), ("tls_self_signed_cert", "self_signed > 0"), ("tls_expired_cert", "expired > 0"), ("large_file_transfer", "file_bytes >= 10000000"))
+_FOUND = f"""{_DNS}{_FILES}{_TLS}{_SSH}{_NW}, counted AS ({_COUNTED}),
+marked AS (SELECT w.*, coalesce(list_filter([{', '.join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in _SHOWN)}], lambda x: x IS NOT NULL), []) AS found FROM w LEFT JOIN counted USING (behavior_id)),
+gated AS (SELECT *, {_SCORE} AS confidence, behavior_id || '|ml_behavior_anomaly' AS dedup_id FROM marked WHERE {_RAW} > 0.8 AND ({_SCORE} >= 0.70 OR {_SCORE} >= 0.62 AND len(found) > 0))"""
+
+
+def _findings_sql(tail: str) -> str:
+    """Over ``marked``, windows with their indicators, and ``gated``, those that pass either branch of the gate."""
+    return f"WITH {O.BEH}, {_WINDOWS}{_FOUND} {tail}"
+
+
+@query("k09_security_indicators", _findings_sql("SELECT behavior_id, nullif(array_to_string(found, '|'), '') AS indicators FROM marked"))
 def indicator_rows(spark, d):
-    return behavior_table(spark, d).select("behavior_id", F.array_contains(FI.indicators(), "many_destination_ports").alias("many_ports"))
+    return behavior_table(spark, d).select("behavior_id", joined(FI.indicators()).alias("indicators"))
 
 
-@query("k10_finding_gate", _sql(f"SELECT count(*) AS strong FROM w WHERE {_RAW} > 0.8 AND {_SCORE} >= 0.70"))
+@query("k10_finding_gate", _findings_sql("SELECT count(*) FILTER (WHERE confidence >= 0.70) AS strong, count(*) FILTER (WHERE confidence < 0.70) AS fair FROM gated"))
 def finding_gate(spark, d):
-    return FI.build_findings(_injected(spark, d), created_at=epoch()).where("confidence >= 0.70").agg(F.count("*").alias("strong"))
+    strong = c("confidence") >= FI.STRONG_SCORE
+    return FI.build_findings(_injected(spark, d), created_at=epoch()).agg(F.count_if(strong).alias("strong"), F.count_if(~strong).alias("fair"))
 
 
-@query("k11_finding_build", _sql(f"SELECT behavior_id || '|ml_behavior_anomaly' AS dedup_id, {_SCORE} AS confidence, 'new' AS status, window_us FROM w WHERE {_RAW} > 0.8 AND {_SCORE} >= 0.70"))
+@query("k11_finding_build", _findings_sql("SELECT dedup_id, confidence, 'new' AS status, window_us FROM gated"))
 def finding_build(spark, d):
-    rows = FI.build_findings(_injected(spark, d), created_at=epoch()).where("confidence >= 0.70")
-    return rows.select("dedup_id", "confidence", "status", us("window_start").alias("window_us"))
+    return FI.build_findings(_injected(spark, d), created_at=epoch()).select("dedup_id", "confidence", "status", us("window_start").alias("window_us"))
 
 
 def both_branches(scored):
@@ -111,7 +136,7 @@ def both_branches(scored):
     return rows.select("dedup_id", "confidence", "status", us("window_start").alias("window_us"), joined(c("security_indicators")).alias("indicators"))
 
 
-@query("k11_all_findings")
+@query("k11_all_findings", _findings_sql("SELECT dedup_id, confidence, 'new' AS status, window_us, nullif(array_to_string(found, '|'), '') AS indicators FROM gated"))
 def all_findings(spark, d):
     return both_branches(_injected(spark, d))
 
@@ -154,16 +179,15 @@ def latest_status(spark, d):
     return FI.latest_status(_statuses(spark, d), "behavior_id")
 
 
-@query("j09_feedback_suppression", _sql(f"SELECT behavior_id || '|ml_behavior_anomaly' AS dedup_id, CASE total % 3 WHEN 1 THEN 'confirmed' ELSE 'new' END AS status FROM w WHERE {_RAW} > 0.8 AND {_SCORE} >= 0.70 AND total % 3 <> 0"))
+@query("j09_feedback_suppression", _findings_sql("SELECT dedup_id, CASE total % 3 WHEN 1 THEN 'confirmed' ELSE 'new' END AS status FROM gated WHERE total % 3 <> 0"))
 def suppression(spark, d):
-    rows = FI.build_findings(_injected(spark, d), _statuses(spark, d), created_at=epoch()).where("confidence >= 0.70")
-    return rows.select("dedup_id", "status")
+    return FI.build_findings(_injected(spark, d), _statuses(spark, d), created_at=epoch()).select("dedup_id", "status")
 
 
-@query("j11_finding_pivot", _sql(f"""SELECT behavior_id || '|ml_behavior_anomaly' AS dedup_id, count(*) AS sessions FROM w JOIN (SELECT *, 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id FROM used) u
-    USING (behavior_id) WHERE {_RAW} > 0.8 AND {_SCORE} >= 0.70 GROUP BY 1"""))
+@query("j11_finding_pivot", _findings_sql("""SELECT dedup_id, count(*) AS sessions FROM gated JOIN (SELECT *, 'asset_15m_v1|' || sensor_key || '|' || entity || '|' || strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS behavior_id FROM used) u
+    USING (behavior_id) GROUP BY 1"""))
 def pivot(spark, d):
-    rows = FI.build_findings(_injected(spark, d), created_at=epoch()).where("confidence >= 0.70")
+    rows = FI.build_findings(_injected(spark, d), created_at=epoch())
     return FI.pivot_to_sessions(rows, session_table(spark, d)).groupBy("dedup_id").agg(F.count("*").alias("sessions"))
 
 
