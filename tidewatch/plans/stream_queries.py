@@ -96,13 +96,16 @@ def late_data(spark, d):
     return rows.groupBy("late", "log_type").agg(F.count("*").alias("n"), F.count_distinct("raw_id").alias("ids"), F.min(us("ts")).alias("first_us"), F.max(us("ts")).alias("last_us"))
 
 
-@query("w09_progress", f"""WITH raw AS ({O.RAW}), {_PARTS} SELECT CAST(part AS BIGINT) AS batch, count(*) AS documents_read, count(*) FILTER (WHERE NOT late) AS rows_written, count(*) FILTER (WHERE late) AS rows_late,
-    ((SELECT max(us) FROM raw) - max(us)) / 1000000.0 AS lag_seconds, (SELECT max(us) FROM raw) - 1800000000 AS next_start_us FROM judged GROUP BY part""")
+@query("w09_progress", f"""WITH {O.HARD}, {_PARTS} SELECT CAST(part AS BIGINT) AS batch, count(*) AS documents_read, count(*) FILTER (WHERE NOT late) AS rows_written, count(*) FILTER (WHERE late) AS rows_late,
+    ((SELECT max(us) FROM raw) - max(us)) / 1000000.0 AS lag_seconds, (SELECT max(us) FROM raw) - 1800000000 AS next_start_us,
+    (SELECT count(*) FROM hard) AS sessions, (SELECT max(last_us) FROM hard) AS sessions_last_us FROM judged GROUP BY part""")
 def progress(spark, d):
+    """Progress of the batches, and how far the hardened sessions behind them have come."""
     _, state = _late_run(spark, d)
     newest = state.read().agg(F.max("newest")).scalar()
     start = state.next_start(DEFAULTS.session_overlap_seconds).select(F.unix_micros("start").alias("next_start_us"))
-    return state.lag(newest).withColumn("next_start_us", start.scalar())
+    done = session_table(spark, d).agg(F.count("*").alias("sessions"), F.max(us("last_seen")).alias("sessions_last_us"))
+    return state.lag(newest).withColumn("next_start_us", start.scalar()).crossJoin(F.broadcast(done))
 
 
 # ---------------------------------------------------------------- sinks
