@@ -1,5 +1,7 @@
 """Work per row of the session and behaviour tables: what is stored, copied, parsed and counted once."""
 
+import glob
+
 from pyspark.sql import functions as F
 from test_sessions import CONN, event, raw
 
@@ -9,6 +11,7 @@ from tidewatch.operators.sections import list_values
 from tidewatch.operators.sessions import build_sessions
 from tidewatch.plans import views
 from tidewatch.schemas import RAW_COLUMNS
+from tidewatch.sources import adapters
 from tidewatch.sources.adapters import SUBNETS, raw_logs
 
 
@@ -62,3 +65,13 @@ def test_raw_table_stores_what_the_logs_have(spark, tmp_path):
     assert table.dtypes == view.dtypes and sorted(map(str, table.collect())) == sorted(map(str, view.collect()))
     path = next(p for (_, d, kind), p in views._STORED.items() if d == str(tmp_path) and kind == "raw")
     assert len(spark.read.parquet(path).columns) < len(RAW_COLUMNS)
+
+
+def test_raw_table_is_cut_by_rows_not_by_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapters, "SLICE_ROWS", 20)
+    events = [(i if i % 9 else None, "view", i / 3, f'{{"k": {i}}}', None) for i in range(60)] * 2
+    spark.createDataFrame(events, "event_id bigint, event_type string, value double, props string, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    table, view = views.raw_table(spark, str(tmp_path)), raw_logs(spark, str(tmp_path))
+    assert sorted(map(str, table.collect())) == sorted(map(str, view.collect()))
+    path = next(p for (_, d, kind), p in views._STORED.items() if d == str(tmp_path) and kind == "raw")
+    assert len(glob.glob(f"{path}/part-*.parquet")) >= 3
