@@ -5,9 +5,10 @@ import glob
 from pyspark.sql import functions as F
 from test_sessions import CONN, event, raw
 
+from tidewatch.functions.values import SAFE_LOG_TYPES, safe_log_type
 from tidewatch.operators.behaviors import facet_summary, session_ref_rows
 from tidewatch.operators.hardening import harden_sessions
-from tidewatch.operators.sections import list_values
+from tidewatch.operators.sections import SECTION_OF_LOG_TYPE, list_values
 from tidewatch.operators.sessions import build_sessions
 from tidewatch.plans import views
 from tidewatch.schemas import RAW_COLUMNS
@@ -75,3 +76,11 @@ def test_raw_table_is_cut_by_rows_not_by_row_groups(spark, tmp_path, monkeypatch
     assert sorted(map(str, table.collect())) == sorted(map(str, view.collect()))
     path = next(p for (_, d, kind), p in views._STORED.items() if d == str(tmp_path) and kind == "raw")
     assert len(glob.glob(f"{path}/part-*.parquet")) >= 3
+
+
+def test_known_log_types_are_not_matched_again(spark):
+    texts = [*SECTION_OF_LOG_TYPE, "quic", "DNS", " ssl ", "a b", "", None, "x/y", "UNKNOWN"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(safe_log_type(F.col("t"))).collect()]
+    assert got == [*SECTION_OF_LOG_TYPE, "quic", "dns", "ssl", "a_b", "unknown", "unknown", "x_y", "unknown"]
+    assert set(SECTION_OF_LOG_TYPE) <= set(SAFE_LOG_TYPES)
