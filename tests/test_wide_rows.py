@@ -9,7 +9,7 @@ from tidewatch.functions.values import SAFE_LOG_TYPES, safe_log_type
 from tidewatch.operators.behaviors import facet_summary, session_ref_rows
 from tidewatch.operators.hardening import harden_sessions
 from tidewatch.operators.sections import SECTION_OF_LOG_TYPE, list_values
-from tidewatch.operators.sessions import build_sessions
+from tidewatch.operators.sessions import _list_field, build_sessions
 from tidewatch.plans import views
 from tidewatch.schemas import RAW_COLUMNS
 from tidewatch.sources import adapters
@@ -84,3 +84,11 @@ def test_known_log_types_are_not_matched_again(spark):
     got = [r[0] for r in df.select(safe_log_type(F.col("t"))).collect()]
     assert got == [*SECTION_OF_LOG_TYPE, "quic", "dns", "ssl", "a_b", "unknown", "unknown", "x_y", "unknown"]
     assert set(SECTION_OF_LOG_TYPE) <= set(SAFE_LOG_TYPES)
+
+
+def test_list_values_are_put_in_order_once(spark):
+    rows = spark.createDataFrame([("k", [("notice.notes", (1, "a", 0), "n")])],
+                                 "key string, entries array<struct<field:string,o:struct<us:bigint,id:string,pos:int>,value:string>>")
+    out = rows.select(_list_field("notice", "notes").alias("notes"), _list_field("notice", "subs").alias("subs"))
+    assert optimized(out).count("sort_array") == 2
+    assert tuple(out.collect()[0]) == (["n"], None)
