@@ -5,6 +5,7 @@ import glob
 from pyspark.sql import functions as F
 from test_sessions import CONN, event, raw
 
+from tidewatch.functions.ip import v4_number
 from tidewatch.functions.values import SAFE_LOG_TYPES, safe_log_type
 from tidewatch.operators.behaviors import facet_summary, session_ref_rows
 from tidewatch.operators.hardening import harden_sessions
@@ -37,6 +38,20 @@ def test_hardening_carries_untouched_columns_as_one(spark):
     assert all(before[n] == after[n] for n in ("ts", "event_count", "has_http", "conn", "http", "updated_at")) and after.http.host == "a"
 
 
+def test_hardening_parses_each_address_once(spark):
+    hard = harden_sessions(build_sessions(raw(spark, CONN), parts=("certificates", "facts")), SUBNETS)
+    plan = optimized(hard)
+    assert plan.count(" AS _s_v4#") == 1 and plan.count(" AS _d_v6#") == 1
+    assert not [n for n in hard.columns if n.startswith("_")]
+
+
+def test_v4_addresses_are_read_without_splitting(spark):
+    texts = ["10.51.3.4", "255.255.255.255", "0.0.0.0", "01.2.3.4", "1.2.3", "1.2.3.4.5", ".1.2.3", "256.1.1.1", "a.b.c.d", "", None, "fe80::1"]
+    numbers = spark.createDataFrame([(t,) for t in texts], "ip string").select("ip", v4_number(F.col("ip")).alias("n"))
+    assert "split(" not in optimized(numbers)
+    assert [r.n for r in numbers.collect()] == [171115268, 4294967295, 0] + [None] * 9
+
+
 def test_filter_on_eligibility_does_not_parse_addresses(spark):
     hard = harden_sessions(build_sessions(raw(spark, CONN), parts=("certificates", "facts")), SUBNETS)
     sessions = spark.createDataFrame(hard.collect(), hard.schema)
