@@ -79,3 +79,24 @@ def test_enrichment_interval_bounds(spark):
     full = df.selectExpr("*", "'tcp' as transport", "named_struct('state', if(dst_port = 4, 'REJ', 'SF')) as conn", "'ssh' as protocol")
     r = R.enrich_scans(alerts, full).first()
     assert (r.unique_ports, r.ports, r.interesting_ports, r.states) == (3, [1, 2, 4], [1, 2], {"REJ": 1, "SF": 2})
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_alerts_are_found_among_stored_matches(spark):
+    rows = [(i, "a", "b", i) for i in range(90)]
+    alerts = R.run_rule(events(spark, rows), R.VERTICAL_SCAN)
+    assert "Window" not in plan(alerts) and "dst_port" not in plan(alerts)
+    assert times(alerts) == [20.0, 80.0]
+
+
+def test_enrichment_reads_its_join_once(spark):
+    rows = [(1000, "a", "b", 1), (1001, "a", "b", None), (1002, "a", "b", 2), (1003, "a", "b", 2), (1000, "c", "d", None)]
+    df = events(spark, rows).selectExpr("*", "'tcp' as transport", "if(dst_port = 2, named_struct('state', 'REJ'), named_struct('state', null)) as conn", "if(dst_port = 2, 'ssh', null) as protocol")
+    alerts = df.where("ts = timestamp_seconds(%d)" % (T0.timestamp() + 1000)).selectExpr("src_ip", "dst_ip", "unix_micros(ts) as us")
+    out = R.enrich_scans(alerts, df)
+    assert plan(out).count("Join ") == 1
+    r, = out.collect()  # an alert without any port has no row
+    assert (r.src_ip, r.unique_ports, r.ports, r.interesting_ports, r.states, r.protocols) == ("a", 2, [1, 2], [1], {"REJ": 2}, None)

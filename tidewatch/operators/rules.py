@@ -188,7 +188,8 @@ def suppress_realerts(matches: DataFrame, key: Sequence[str], realert_seconds: i
 
 
 def run_rule(events: DataFrame, rule: Rule, detail: Sequence[str] = ("session_id",)) -> DataFrame:
-    return sliding_matches(events, rule, detail).transform(suppress_realerts, rule.key, rule.realert_seconds)
+    """Matches are stored before suppression, which reads them several times; else each of its plans, and the caller's, would hold the whole count anew."""
+    return stored(sliding_matches(events, rule, detail), "matches").transform(suppress_realerts, rule.key, rule.realert_seconds)
 
 
 def any_rule(events: DataFrame, rule: Rule, id_col: str = "raw_id") -> DataFrame:
@@ -243,25 +244,32 @@ def enrich_scans(alerts: DataFrame, sessions: DataFrame, before_seconds: int = 3
     hits = within_lookback(alerts, tcp, ["src_ip", "dst_ip"], before_seconds, after_seconds)
     cells = hits.groupBy(*by, "port", "state", "protocol").agg(F.count("*").alias("n"))
     open_ = ~F.coalesce(c("state") == "REJ", F.lit(False))
-    ports = cells.where(c("port").isNotNull()).groupBy(*by, "port").agg(F.max(open_).alias("open"))
-    ports = ports.groupBy(*by).agg(
-        F.count("*").alias("unique_ports"), F.array_sort(F.collect_list("port")).alias("ports"),
-        F.array_sort(F.collect_list(F.when(c("open"), c("port")))).alias("open_ports"))
+    none = F.lit(None)
+    kinds = {"port": (c("port"), none), "state": (none, c("state")), "protocol": (none, F.when(open_, c("protocol")))}
+    items = F.array(*[F.struct(F.lit(k).alias("kind"), p.cast(tcp.schema["port"].dataType).alias("port"), v.cast("string").alias("value")) for k, (p, v) in kinds.items()])
+    # The join with the alerts is read once: ports, states and protocols are counted together and parted at the end.
+    counts = (
+        cells.select(*by, "n", open_.alias("open"), F.explode(items).alias("i")).select(*by, "n", "open", "i.*")
+        .where(c("port").isNotNull() | c("value").isNotNull())
+        .groupBy(*by, "kind", "port", "value").agg(F.sum("n").alias("n"), F.max("open").alias("open"))
+    )
 
-    def summary(rows: DataFrame, name: str, out: str) -> DataFrame:
-        counts = rows.where(c(name).isNotNull()).groupBy(*by, c(name).alias("value")).agg(F.sum("n").alias("n"))
-        return counts.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias(out))
+    def listed(condition: Column, value: Column) -> Column:
+        return F.array_sort(F.collect_list(F.when(condition, value)))
 
-    joined = (
-        ports.join(summary(cells, "state", "states"), by, "left").join(summary(cells.where(open_), "protocol", "protocols"), by, "left")
-    )
+    port = c("kind") == "port"
+    joined = counts.groupBy(*by).agg(
+        F.count_if(port).alias("unique_ports"), listed(port, c("port")).alias("ports"), listed(port & c("open"), c("port")).alias("open_ports"),
+        *[listed(c("kind") == k, F.struct("value", "n")).alias(f"{k}s") for k in ("state", "protocol")],
+    ).where(c("unique_ports") > 0)
+    joined = joined.withColumns({n: F.when(F.size(n) > 0, F.map_from_entries(n)) for n in ("states", "protocols")})
     rejected = F.coalesce(F.try_element_at(c("states"), F.lit("REJ")), F.lit(0))
     shown = F.slice("open_ports", 1, shown_ports).cast("array<string>")
-    listed = F.when(F.size(shown) > 0, F.array_join(shown, ", ")).otherwise("none observed")
+    named = F.when(F.size(shown) > 0, F.array_join(shown, ", ")).otherwise("none observed")
     message = F.format_string(
         "Possible Nmap port scan detected: %s scanned %d unique TCP destination ports on %s within the detection window. "
         "Most ports were rejected/closed (REJ=%d). Interesting/open ports observed: %s.",
-        "src_ip", "unique_ports", "dst_ip", rejected, listed)
+        "src_ip", "unique_ports", "dst_ip", rejected, named)
     return joined.select(
         *by, "unique_ports", c("open_ports").alias("interesting_ports"), "states", "protocols", "ports",
         F.timestamp_micros(c("alert_us") - before_seconds * US).alias("window_from"),
