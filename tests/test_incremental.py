@@ -1,5 +1,6 @@
 """Stores fed by micro-batches: files read, replays, late rows, moved sessions; and the rules' look-back state."""
 
+import glob
 import random
 
 import pytest
@@ -91,3 +92,12 @@ def test_certificates_are_stored_once_and_known_to_later_batches(spark, tmp_path
         assert store.events.read().count() == 9 and store.shown.read().count() == 8  # 49 rows with certificates per session
         assert store.upsert(fps([("C1", "dns", 300, "R30")]), 2) == {"created": 0, "updated": 1, "upserted": 1}
         assert {r.key: r.event_count for r in store.sessions.read().collect()}["C1"] == 7
+
+
+def test_a_finished_batch_leaves_no_scratch_tables(spark, tmp_path):
+    from tidewatch.session import ensure_checkpoint_dir
+    scratch = lambda: set(glob.glob(f"{ensure_checkpoint_dir(spark)}/batch*"))
+    store, before = SessionStore(spark, f"file://{tmp_path}/d", sections=("conn",), buckets=2), scratch()
+    store.upsert(raw(spark, [("C1", "conn", 100, "R1")]), 0)
+    assert store.upsert(raw(spark, [("C1", "dns", 200, "R2"), ("C2", "dns", 201, "R3")]), 1) == {"created": 1, "updated": 1, "upserted": 2}
+    assert scratch() == before and store.sessions.read().count() == 2
