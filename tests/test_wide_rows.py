@@ -1,6 +1,7 @@
 """Work per row of the session and behaviour tables: what is stored, copied, parsed and counted once."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 from test_sessions import CONN, event, raw
@@ -107,3 +108,19 @@ def test_list_values_are_put_in_order_once(spark):
     out = rows.select(_list_field("notice", "notes").alias("notes"), _list_field("notice", "subs").alias("subs"))
     assert optimized(out).count("sort_array") == 2
     assert tuple(out.collect()[0]) == (["n"], None)
+
+
+def test_a_long_list_of_certificates_is_written_once_for_many_sessions(spark, tmp_path):
+    from tidewatch.plans.session_queries import kept_events
+    from tidewatch.session import configure
+    spark.createDataFrame([(0, "view", 1.0, '{"k": 1}')], "event_id bigint, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    text = spark.range(1, numPartitions=1).select(F.expr("array_join(transform(sequence(1, 60000), i -> sha2(cast(i as string), 256)), '|')").alias("ids"))  # 3.9 MB
+    rows = spark.range(150, numPartitions=1).join(F.broadcast(text))
+    sizes = []
+    for name, begin in (("plain", configure), ("a05", lambda s: kept_events(s, str(tmp_path)))):
+        begin(spark)
+        rows.write.parquet(f"{tmp_path}/{name}")
+        sizes.append(sum(os.path.getsize(p) for p in glob.glob(f"{tmp_path}/{name}/part-*")))
+        assert spark.read.parquet(f"{tmp_path}/{name}").select("ids").distinct().count() == 1
+    configure(spark)
+    assert sizes[1] < 8e6 < 100 * 8e5 < sizes[0] and spark.conf.get("parquet.dictionary.page.size") == "1048576"
